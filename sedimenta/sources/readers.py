@@ -23,7 +23,7 @@ def ndjson_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files that hold one JSON array each; a file is read whole by one task, so land it once."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
 
 
 def jdbc_table(

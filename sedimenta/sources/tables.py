@@ -6,21 +6,17 @@ exists or does not, and a run that is repeated with the same ``run_id`` changes
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.session import path_exists
+
 _COMMIT_SCHEMA = "version bigint, run_id string, path string"
 _CONTROL_SCHEMA = "pipeline_id string, run_id string, seq bigint, last_watermark timestamp_ntz"
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 class VersionedTable:

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sedimenta.operators.merge import latest_per_key
+from sedimenta.session import path_exists
 from sedimenta.sources.tables import LandingTable, VersionedTable
 
 
@@ -88,12 +88,10 @@ class KeyedLog:
 
     def batches(self) -> DataFrame:
         schema = T.StructType(self.schema.fields + [T.StructField("batch_id", T.LongType())])
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        log = f"{self.root}/log"
+        if not path_exists(self.spark, log):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(log)
 
     def _compacted_through(self) -> int:
         current = self.base.current()
