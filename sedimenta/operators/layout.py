@@ -11,9 +11,12 @@ from sedimenta.session import materialise
 
 
 def write_by_month(df: DataFrame, ts: str, path: str) -> None:
-    """``year=/month=`` directories; both have few values, so file counts stay low."""
+    """``year=/month=`` directories; both have few values, so file counts stay low.
+
+    Rebalancing gathers a month in few files and lets AQE split a month too large for one task.
+    """
     dated = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
-    dated.write.partitionBy("year", "month").parquet(path)
+    dated.hint("rebalance", F.col("year"), F.col("month")).write.partitionBy("year", "month").parquet(path)
 
 
 def z_value(columns: list[str], limits: dict[str, tuple[float, float]], bits: int = 8) -> Column:
@@ -32,14 +35,18 @@ def z_value(columns: list[str], limits: dict[str, tuple[float, float]], bits: in
 
 
 def write_clustered(df: DataFrame, columns: list[str], path: str, files: int) -> None:
-    """Cluster by z-value: neighbours in all columns share files, so min/max statistics prune."""
+    """Cluster by z-value: neighbours in all columns share files, so min/max statistics prune.
+
+    A row hash follows the z-value in the range key, so a cell with very many rows is spread over
+    several files.
+    """
     stats = df.agg(*[f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)]).first()
     limits = {c: (stats[2 * i], stats[2 * i + 1]) for i, c in enumerate(columns)}
     (
-        df.withColumn("_z", z_value(columns, limits))
-        .repartitionByRange(files, "_z")
+        df.withColumns({"_z": z_value(columns, limits), "_row": F.xxhash64(*df.columns)})
+        .repartitionByRange(files, "_z", "_row")
         .sortWithinPartitions("_z")
-        .drop("_z")
+        .drop("_z", "_row")
         .write.parquet(path)
     )
 
@@ -85,7 +92,7 @@ def refresh_groups(
     """
     staged = materialise(recomputed, "refresh")
     (
-        staged.repartition(partition)
+        staged.hint("rebalance", F.col(partition))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -35,7 +35,8 @@ def upsert(
     """Insert new keys whole; of stored keys overwrite only the ``update`` columns.
 
     Repeated keys inside the batch act as if applied one after the other: the insert takes the
-    first row, the update columns come from the last. A batch NULL overwrites.
+    first row, the update columns come from the last. A batch NULL overwrites. Both sides of the
+    outer join hold one row per key, so it cannot be skewed.
     """
     order = F.struct(*seq)
     rest = [c for c in target.columns if c not in keys]

@@ -13,6 +13,9 @@ The tie-break must make the sort key unique, otherwise equal rows share one buck
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,9 +25,10 @@ from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 8
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 16_384
 SAMPLES_PER_BUCKET = 24
 
+_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _BUCKET = "_bucket"
 _SORT = "_sort"
 
@@ -79,6 +83,7 @@ class _Layout:
     df: DataFrame
     parts: list[str]
     orders: list[str]
+    ties: list[str]
     bounds: list = field(repr=False)
 
 
@@ -94,13 +99,13 @@ def ordered_window(
     """Add the columns named in ``calls`` to ``df``.
 
     ``order_by`` lists ``(column, "asc" | "desc")``; descending columns must be numbers, dates or
-    timestamps. ``df`` is read several times, so pass a table or a materialised frame.
+    timestamps with time zone. ``df`` is read several times, so pass a table or a materialised frame.
     """
     layout = _bucketed(df, list(partition_by), order_by, tiebreak, buckets)
     local = _local(layout, calls)
     carry = F.broadcast(_carry(layout, calls))  # at most two rows per bucket
     matched = [local[_BUCKET] == carry["_cb"]] + [
-        local[p].eqNullSafe(carry[f"_c{p}"]) for p in layout.parts
+        local[p].eqNullSafe(carry[f"_cp_{p}"]) for p in layout.parts
     ]
     joined = local.join(carry, reduce(Column.__and__, matched), "left")
     results = [_combine(layout, name, call).alias(name) for name, call in calls.items()]
@@ -110,36 +115,33 @@ def ordered_window(
 # --- bucketing -----------------------------------------------------------------------------
 
 
-def _ascending(col: str, direction: str, dtype: T.DataType) -> list[Column]:
+def _ascending(col: str, direction: str, dtype: T.DataType) -> dict[str, Column]:
     """Columns that sort ascending the way ``col`` sorts in ``direction``."""
     c = F.col(col)
+    if isinstance(dtype, T.TimestampType):
+        micros = F.unix_micros(c)
+        return {f"_o_{col}": micros} if direction == "asc" else {f"_n_{col}": c.isNull(), f"_o_{col}": -micros}
     if direction == "asc":
-        return [c]
+        return {col: c}
     if isinstance(dtype, T.NumericType):
         negated = -c
     elif isinstance(dtype, T.DateType):
         negated = -F.unix_date(c)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        negated = -F.unix_micros(c.cast("timestamp"))
     else:
         raise TypeError(f"cannot sort {col} ({dtype.simpleString()}) descending")
-    return [c.isNull(), negated]  # nulls last, as a descending sort puts them
+    return {f"_n_{col}": c.isNull(), f"_o_{col}": negated}  # nulls last, as a descending sort puts them
 
 
 def _bucketed(df, partition_by, order_by, tiebreak, buckets) -> _Layout:
     types = {f.name: f.dataType for f in df.schema}
-    parts = {f"_p{i}": F.col(c) for i, c in enumerate(partition_by)}
-    order_cols = [k for c, d in order_by for k in _ascending(c, d, types[c])]
-    orders = {f"_o{i}": k for i, k in enumerate(order_cols)}
-    ties = {f"_t{i}": F.col(c) for i, c in enumerate(tiebreak)}
-    keyed = df.withColumns(parts | orders | ties)
-    sort = F.struct(*parts, *orders, *ties)
-    bounds = _bounds(keyed.select(sort.alias(_SORT)), buckets)
-    dtype = keyed.select(sort.alias(_SORT)).schema[_SORT].dataType
-    keyed = keyed.withColumn(_SORT, sort)
-    literals = [_literal(b, dtype) for b in bounds]
-    keyed = keyed.withColumn(_BUCKET, _search(F.col(_SORT), literals, 0, len(literals)))
-    return _Layout(keyed, list(parts), list(orders), bounds)
+    orders = {n: k for c, d in order_by for n, k in _ascending(c, d, types[c]).items()}
+    ties = [t for t in tiebreak if t not in orders and t not in partition_by]
+    keyed = df.withColumns({n: k for n, k in orders.items() if n not in df.columns})
+    names = [*partition_by, *orders, *ties]
+    dtype = T.StructType([T.StructField(n, keyed.schema[n].dataType) for n in names])
+    keyed = keyed.withColumn(_SORT, F.struct(*names).cast(dtype))
+    bounds = _bounds(keyed.select(_SORT), buckets)
+    return _Layout(_with_bucket(keyed, bounds, dtype), partition_by, list(orders), ties, bounds)
 
 
 def _bounds(keys: DataFrame, buckets: int | None) -> list:
@@ -154,18 +156,37 @@ def _bounds(keys: DataFrame, buckets: int | None) -> list:
     return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
-def _literal(row, dtype: T.StructType) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, dtype)])
+def _constant(bounds: list, dtype: T.StructType) -> Column:
+    """Sort keys as one constant array, parsed once per plan."""
+    names = [f.name for f in dtype]
+    rows = json.dumps([b and dict(zip(names, map(_json_value, b))) for b in bounds])
+    return F.from_json(F.lit(rows), T.ArrayType(dtype), {"timestampNTZFormat": _NTZ})
 
 
-def _search(key: Column, bounds: list[Column], low: int, high: int) -> Column:
-    """Number of bounds not above ``key``: a balanced decision tree, log2(buckets) tests per row."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(key < bounds[mid], _search(key, bounds, low, mid)).otherwise(
-        _search(key, bounds, mid + 1, high)
-    )
+def _json_value(value):
+    if isinstance(value, datetime.datetime):
+        return value.isoformat(timespec="microseconds")
+    if isinstance(value, (datetime.date, decimal.Decimal)):
+        return str(value)
+    return value
+
+
+def _with_bucket(df: DataFrame, bounds: list, dtype: T.StructType) -> DataFrame:
+    """Add the number of bounds not above the sort key, by bisection inside generated code.
+
+    The bounds form a complete binary tree. Each level is one projection that goes from a node to
+    its left or right child, so a row costs log2(buckets) comparisons and the plan grows by as many
+    small expressions. Missing bounds at the end are NULL and lead to the left.
+    """
+    df = df.withColumn(_BUCKET, F.lit(0))
+    depth = len(bounds).bit_length()
+    size = 1 << depth
+    for level in range(depth):
+        half = size >> (level + 1)
+        nodes = [bounds[p] if p < len(bounds) else None for p in range(half - 1, size - 1, 2 * half)]
+        right = F.when(F.col(_SORT) >= _constant(nodes, dtype)[F.col(_BUCKET)], 1).otherwise(0)
+        df = df.withColumn(_BUCKET, F.col(_BUCKET) * 2 + right)
+    return df
 
 
 # --- inside a bucket -----------------------------------------------------------------------
@@ -173,7 +194,7 @@ def _search(key: Column, bounds: list[Column], low: int, high: int) -> Column:
 
 def _local(layout: _Layout, calls: dict[str, Call]) -> DataFrame:
     group = Window.partitionBy(_BUCKET, *layout.parts)
-    w = group.orderBy(_SORT)
+    w = group.orderBy(*layout.orders, *layout.ties)
     by_value = group.orderBy(*layout.orders)
     to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local: dict[str, Column] = {}
@@ -204,7 +225,7 @@ def _carry(layout: _Layout, calls: dict[str, Call]) -> DataFrame:
     spark = layout.df.sparkSession
     frame = layout.df
     if layout.parts:
-        fields = [f for f in frame.schema if f.name in layout.parts]
+        fields = [T.StructField(p, frame.schema[p].dataType) for p in layout.parts]
         keys = {tuple(b[: len(fields)]) for b in layout.bounds}
         spanning = spark.createDataFrame(list(keys), T.StructType(fields))
         same = [frame[p].eqNullSafe(spanning[p]) for p in layout.parts]
@@ -242,8 +263,10 @@ def _carry(layout: _Layout, calls: dict[str, Call]) -> DataFrame:
     summary = summary.withColumns(carried)
 
     if kinds & {"rank", "dense_rank"}:
-        summary = _rank_carry(summary.join(_value_runs(frame, layout), cells), layout, along)
-    renamed = [F.col(_BUCKET).alias("_cb"), *[F.col(p).alias(f"_c{p}") for p in layout.parts]]
+        runs = _value_runs(frame, layout)
+        same_cell = [summary[_BUCKET] == runs["_rb"]] + [summary[p].eqNullSafe(runs[f"_rp_{p}"]) for p in layout.parts]
+        summary = _rank_carry(summary.join(runs, reduce(Column.__and__, same_cell)), layout, along)
+    renamed = [F.col(_BUCKET).alias("_cb"), *[F.col(p).alias(f"_cp_{p}") for p in layout.parts]]
     return summary.select(*renamed, *[c for c in summary.columns if c.startswith("_c_")])
 
 
@@ -252,7 +275,8 @@ def _value_runs(frame: DataFrame, layout: _Layout) -> DataFrame:
     cells = [_BUCKET, *layout.parts]
     values = frame.groupBy(*cells, *layout.orders).agg(F.count(F.lit(1)).alias("_rows"))
     value = F.struct(*layout.orders)
-    return values.groupBy(*cells).agg(
+    named = [F.col(_BUCKET).alias("_rb"), *[F.col(p).alias(f"_rp_{p}") for p in layout.parts]]
+    return values.groupBy(*named).agg(
         F.count(F.lit(1)).alias("_d"),
         F.min(value).alias("_first"),
         F.max(value).alias("_last"),

@@ -96,8 +96,8 @@ def corrected_negatives(rejects: DataFrame, payload_schema: str, amount: str) ->
     return parsed.select("_p.*").where(F.col(amount).isNotNull()).withColumn(amount, F.abs(amount))
 
 
-def enforce_foreign_key(rows: DataFrame, parent: DataFrame, key: str, parent_key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with a parent, and the orphans with their reason."""
-    parents = parent.select(F.col(parent_key).alias(key)).distinct()
-    orphans = rows.join(parents, key, "left_anti").withColumn("reason_code", F.lit(text.FK_VIOLATION))
-    return rows.join(parents, key, "left_semi"), orphans
+def check_foreign_key(rows: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
+    """Rows with a ``reason_code`` for those without a parent, in one pass; route them afterwards."""
+    parents = parent.select(F.col(parent_key).alias(key)).distinct().withColumn("_parent", F.lit(True))
+    orphan = F.when(F.col("_parent").isNull(), text.FK_VIOLATION)
+    return rows.join(parents, key, "left").withColumn("reason_code", orphan).select(*rows.columns, "reason_code")

@@ -127,8 +127,9 @@ def as_of_lookup(
 
     Facts and versions are merged into one sequence per key and each fact takes the last version
     before it. That is linear in the rows of a key, where an equi-join with a range condition would
-    pair all its facts with all its versions.
+    pair all its facts with all its versions. ``facts`` should be a table; it is read several times.
     """
+    history = materialise(history.select(key, "effective_date", "expiry_date", *columns), "versions")
     payload = F.struct(F.col("effective_date").alias("_from"), F.col("expiry_date").alias("_to"), *columns)
     fact_fields = [c for c in facts.columns if c != key]
     versions = history.select(
@@ -143,7 +144,7 @@ def as_of_lookup(
         *[F.col(t).alias(f"_t_{t}") for t in tiebreak],
     )
     filled = ordered.ordered_window(
-        materialise(versions.unionByName(rows), "as-of"),
+        versions.unionByName(rows),
         {"_valid": ordered.carry_forward("_version")},
         partition_by=[key], order_by=[("_at", "asc"), ("_kind", "asc")],
         tiebreak=[f"_t_{t}" for t in tiebreak], buckets=buckets,

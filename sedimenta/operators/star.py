@@ -25,12 +25,21 @@ UNKNOWN_STORE = {
 }
 
 
-def with_unknown_member(dim: DataFrame, member: dict, key: str) -> DataFrame:
-    """Add the -1 row unless it is there; columns the member does not name become NULL."""
-    row = dim.sparkSession.range(1).select(
+def unknown_member(dim: DataFrame, member: dict) -> DataFrame:
+    """The -1 row in the shape of ``dim``; columns the member does not name become NULL."""
+    return dim.sparkSession.range(0, 1, 1, 1).select(
         *[F.lit(member.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema]
     )
-    return insert_absent(dim, row, [key])
+
+
+def seeded(members: DataFrame, member: dict) -> DataFrame:
+    """Freshly built members, none of which can have the key -1, with the unknown member."""
+    return members.unionByName(unknown_member(members, member))
+
+
+def ensure_unknown_member(dim: DataFrame, member: dict, key: str) -> DataFrame:
+    """A stored dimension with the unknown member added unless it is there."""
+    return insert_absent(dim, unknown_member(dim, member), [key])
 
 
 def new_members(source: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -75,14 +84,15 @@ def repoint_late(facts: DataFrame, orders: DataFrame, customers: DataFrame) -> D
     Only those facts are joined again; all others pass through untouched.
     """
     known = facts.where(F.col("customer_sk") != UNKNOWN_KEY)
-    found = orders.select("order_id", "customer_id").join(
-        customers.where(F.col("is_current") == 1).select("customer_id", F.col("customer_sk").alias("_late_sk")),
-        "customer_id",
-    )
-    late = facts.where(F.col("customer_sk") == UNKNOWN_KEY).join(found, "order_id", "left")
-    return known.unionByName(
-        late.withColumn("customer_sk", F.coalesce("_late_sk", "customer_sk")).select(*facts.columns)
+    late = facts.where(F.col("customer_sk") == UNKNOWN_KEY)
+    arrived = customers.where(F.col("is_current") == 1).select("customer_id", F.col("customer_sk").alias("_late_sk"))
+    found = (
+        orders.select("order_id", "customer_id")
+        .join(late.select("order_id").distinct(), "order_id", "left_semi")
+        .join(arrived, "customer_id")
     )
+    repointed = late.join(found, "order_id", "left").withColumn("customer_sk", F.coalesce("_late_sk", "customer_sk"))
+    return known.unionByName(repointed.select(*facts.columns))
 
 
 def daily_snapshot(facts: DataFrame) -> DataFrame:

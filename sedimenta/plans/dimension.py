@@ -25,7 +25,7 @@ UNION ALL SELECT 'product', product_sk, product_name FROM dim_product
 UNION ALL SELECT 'store', store_sk, store_name FROM dim_store""", "dim_customer", "dim_product", "dim_store"))
 def _(spark, sf):
     # Seeding twice must not add the row twice.
-    customers = star.with_unknown_member(warehouse.dim_customer(spark, sf), star.UNKNOWN_CUSTOMER, "customer_sk")
+    customers = star.ensure_unknown_member(warehouse.dim_customer(spark, sf), star.UNKNOWN_CUSTOMER, "customer_sk")
     label = F.concat_ws(" ", "first_name", "last_name")
     out = customers.select(F.lit("customer").alias("dimension"), F.col("customer_sk").alias("sk"), label.alias("label"))
     products = warehouse.dim_product(spark, sf).select(

@@ -45,7 +45,7 @@ def landed_csv(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 def landed_ndjson(spark: SparkSession, df: DataFrame, files: int | None = None) -> str:
     path = scratch_path(spark, "ndjson")
-    (df.repartition(files, df.columns[0]) if files else df).write.json(path)
+    (df.repartition(files, *df.columns) if files else df).write.json(path)
     return path
 
 

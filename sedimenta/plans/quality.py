@@ -13,6 +13,7 @@ from sedimenta.plans.expected import expect
 from sedimenta.plans.registry import query
 from sedimenta.session import scratch_path
 from sedimenta.sources import entities
+from sedimenta.sources.readers import table
 from sedimenta.sources.tables import LandingTable, WatermarkControl
 
 AS_OF = "2024-02-01 00:00:00"
@@ -276,7 +277,7 @@ SELECT 'text' AS column_name, 'email' AS pattern, count(*) FILTER (regexp_matche
 UNION ALL SELECT 'text', 'phone', count(*) FILTER (regexp_matches(text, '\\+?[0-9][0-9() -]{8,}[0-9]')) FROM documents
 UNION ALL SELECT 'source', 'email', 0 UNION ALL SELECT 'source', 'phone', 0""")
 def _(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet").select("text", "source")
+    documents = table(spark, sf, "documents").select("text", "source")
     return quality.pii_value_counts(documents, {
         "email": r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", "phone": r"\+?[0-9][0-9() -]{8,}[0-9]",
     })

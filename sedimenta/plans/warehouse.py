@@ -28,7 +28,7 @@ def dim_customer(spark: SparkSession, sf: str, everyone: bool = False) -> DataFr
         F.lit(None).cast("date").alias("expiry_date"),
         F.lit(1).alias("is_current"), F.lit(1).cast("bigint").alias("version"),
     )
-    return star.with_unknown_member(rows, star.UNKNOWN_CUSTOMER, "customer_sk")
+    return star.seeded(rows, star.UNKNOWN_CUSTOMER)
 
 
 def dim_product(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,12 +37,12 @@ def dim_product(spark: SparkSession, sf: str) -> DataFrame:
         "product_id", "product_name", "category", F.col("price").alias("current_price"),
         F.lit(None).cast("string").alias("previous_category"), "effective_date", F.lit(1).alias("is_current"),
     )
-    return star.with_unknown_member(rows, star.UNKNOWN_PRODUCT, "product_sk")
+    return star.seeded(rows, star.UNKNOWN_PRODUCT)
 
 
 def dim_store(spark: SparkSession, sf: str) -> DataFrame:
     rows = entities.stores(spark, sf).select((F.col("store_id") + 1).alias("store_sk"), "*")
-    return star.with_unknown_member(rows, star.UNKNOWN_STORE, "store_sk")
+    return star.seeded(rows, star.UNKNOWN_STORE)
 
 
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
