@@ -29,17 +29,6 @@ class SourceSpec:
     is_active: int = 1
 
 
-# The control rows of the six sources.
-SPECS = (
-    SourceSpec("p001", "customers_ingestion", "table", "bronze_customers", "full_load", "customer_id", None, ("email", "phone")),
-    SourceSpec("p002", "orders_ingestion", "table", "bronze_orders", "incremental", "order_id", "updated_at"),
-    SourceSpec("p003", "products_ingestion", "csv", "bronze_products", "full_load", "product_id"),
-    SourceSpec("p004", "payments_ingestion", "api_pages", "bronze_payments", "incremental", "payment_id", "created_at", ("card_last4",)),
-    SourceSpec("p005", "deliveries_ingestion", "ndjson_stream", "bronze_deliveries", "streaming_microbatch", "delivery_id", "ts"),
-    SourceSpec("p006", "saas_employee_ingestion", "json", "bronze_saas_employees", "full_swap", "employee_id", None, ("ssn", "personal_email")),
-)
-
-
 def specs_from_rows(rows: list[dict]) -> list[SourceSpec]:
     """Control rows from the parsed form of a configuration file."""
     return [
@@ -52,7 +41,7 @@ def specs_from_rows(rows: list[dict]) -> list[SourceSpec]:
 
 
 def ingest(
-    spark: SparkSession, specs: tuple[SourceSpec, ...], sources: dict[str, Callable[[], DataFrame]],
+    spark: SparkSession, specs: list[SourceSpec], sources: dict[str, Callable[[], DataFrame]],
     root: str, run_id: str, reasons: dict[str, Column] | None = None,
 ) -> list[LoadResult]:
     """Load every active source by its mode; the loop is over control rows only."""

@@ -96,6 +96,25 @@ def corrected_negatives(rejects: DataFrame, payload_schema: str, amount: str) ->
     return parsed.select("_p.*").where(F.col(amount).isNotNull()).withColumn(amount, F.abs(amount))
 
 
+def mark_replayed(rejects: DataFrame, payload_schema: str, amount: str, replay_ts: str) -> DataFrame:
+    """Quarantine after a replay: corrected records carry its time, the others stay open."""
+    parsed = F.from_json("raw_payload", payload_schema)
+    corrected = (F.col("reason_code") == text.NEGATIVE_AMOUNT) & parsed[amount].isNotNull()
+    return rejects.withColumn("replayed_at", F.when(corrected, F.lit(replay_ts).cast("timestamp_ntz")))
+
+
+def distinct_rejects(rejects: DataFrame) -> DataFrame:
+    """One record per payload and reason, from the first run that saw it.
+
+    A watermark that follows valid rows only reads newer rejects again in every run.
+    """
+    first = F.min_by(F.struct("run_id", "raw_payload", "error_details", "created_at"), F.struct("created_at", "run_id"))
+    hashed = rejects.withColumn("payload_hash", F.sha2("raw_payload", 256))
+    return hashed.groupBy("pipeline_id", "reason_code", "payload_hash").agg(
+        first.alias("_r"), F.count("*").alias("seen")
+    ).select("pipeline_id", "reason_code", "payload_hash", "seen", "_r.*")
+
+
 def check_foreign_key(rows: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Rows with a ``reason_code`` for those without a parent, in one pass; route them afterwards."""
     parents = parent.select(F.col(parent_key).alias(key)).distinct().withColumn("_parent", F.lit(True))

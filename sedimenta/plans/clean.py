@@ -188,6 +188,38 @@ def _(spark, sf):
     return merge.upsert(silver, replay, ["order_id"], ["total_amount"], ["updated_at"]).drop("updated_at")
 
 
+@query("B12_replay_marks", expect("""
+SELECT order_id AS payload_order_id, 'NEGATIVE_AMOUNT' AS reason_code, TIMESTAMP '2024-06-02 00:00:00' AS replayed_at
+FROM source_orders WHERE total_amount < 0
+UNION ALL SELECT customer_id, 'INVALID_EMAIL', NULL FROM customers WHERE email NOT LIKE '%@%'
+UNION ALL SELECT customer_id, 'NEGATIVE_AMOUNT', NULL FROM customers WHERE email LIKE '%@%' AND balance < 0""",
+    "source_orders", "customers"))
+def _(spark, sf):
+    # Rejected customers carry no order amount, so a replay of orders leaves them open.
+    rejects = order_rejects(spark, sf).unionByName(customer_rejects(spark, sf))
+    key = F.coalesce(F.get_json_object("raw_payload", "$.order_id"), F.get_json_object("raw_payload", "$.customer_id"))
+    return routing.mark_replayed(rejects, PAYLOAD_SCHEMA, "total_amount", "2024-06-02 00:00:00").select(
+        key.cast("bigint").alias("payload_order_id"), "reason_code", "replayed_at"
+    )
+
+
+@query("B11_distinct_rejects", expect("""
+SELECT order_id AS payload_order_id, 'NEGATIVE_AMOUNT' AS reason_code, 'r1' AS run_id,
+       CASE WHEN order_status = 'PENDING' THEN 2 ELSE 1 END::BIGINT AS seen FROM source_orders WHERE total_amount < 0""", "source_orders"))
+def _(spark, sf):
+    # A second run meets the rejects among the pending orders again.
+    rejects = order_rejects(spark, sf)
+    pending = entities.source_orders(spark, sf).where(
+        (F.col("order_status") == "PENDING") & (F.col("total_amount") < 0)
+    ).withColumn("reason_code", F.lit(text.NEGATIVE_AMOUNT))
+    again = routing.quarantine(
+        pending, run_id="r2", pipeline_id="p002", run_ts="2024-06-02 00:00:00", details="Order total amount is negative", payload=PAYLOAD
+    )
+    return routing.distinct_rejects(rejects.unionByName(again)).select(
+        F.get_json_object("raw_payload", "$.order_id").cast("bigint").alias("payload_order_id"), "reason_code", "run_id", "seen"
+    )
+
+
 @query("B13_reject_report", expect("""
 SELECT 'p002' AS pipeline_id, 'NEGATIVE_AMOUNT' AS reason_code, count(*) AS reject_count FROM source_orders
 WHERE total_amount < 0

@@ -11,33 +11,15 @@ from sedimenta.operators.quality import Contract, Rule
 from sedimenta.plans import warehouse
 from sedimenta.plans.expected import expect
 from sedimenta.plans.registry import query
-from sedimenta.session import scratch_path
+from sedimenta.session import materialise, scratch_path
 from sedimenta.sources import entities
-from sedimenta.sources.readers import table
-from sedimenta.sources.tables import LandingTable, WatermarkControl
+from sedimenta.sources.config import read_config
+from sedimenta.sources.readers import table as given_table
+from sedimenta.sources.tables import LandingTable, VersionedTable, WatermarkControl
 
 AS_OF = "2024-02-01 00:00:00"
 
-# The address pattern and checks of the customer and order contracts.
-EMAIL_PATTERN = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
-CONTRACTS = {
-    "customers": {
-        "required_columns": ["customer_id", "first_name", "last_name", "email", "created_at"],
-        "column_types": {"customer_id": "int", "first_name": "string", "last_name": "string", "email": "email"},
-        "checks": [
-            {"name": "customer_id_not_null", "column": "customer_id", "rule": "not_null"},
-            {"name": "email_format", "column": "email", "rule": "regex", "pattern": EMAIL_PATTERN},
-        ],
-    },
-    "orders": {
-        "required_columns": ["order_id", "customer_id", "order_date", "total_amount", "updated_at"],
-        "column_types": {"order_id": "int", "customer_id": "int", "total_amount": "float"},
-        "checks": [
-            {"name": "order_id_not_null", "column": "order_id", "rule": "not_null"},
-            {"name": "amount_non_negative", "column": "total_amount", "rule": "min", "value": 0.0},
-        ],
-    },
-}
+CONTRACTS = read_config(warehouse.CONFIG / "contracts.json")["contracts"]
 
 
 @query("J1_primary_key_duplicates", expect("""
@@ -187,6 +169,30 @@ def _(spark, sf):
     return verdicts[0].unionByName(verdicts[1]).unionByName(verdicts[2])
 
 
+def publish_daily_sales(silver, table: VersionedTable, run_id: str) -> None:
+    """Silver to gold behind the gates: contract, expectations, PII columns, then one atomic swap."""
+    quality.require_pass(quality.check_contract(silver, Contract.from_spec("orders", CONTRACTS["orders"])))
+    daily = materialise(gold.daily_sales(silver), "daily-sales")
+    quality.require_pass(quality.evaluate(daily, [
+        Rule("store_present", "not_null", "store_id"),
+        Rule("revenue_non_negative", "min", "total_revenue", (0,)),
+        Rule("rows_present", "row_count_between", None, (1, None)),
+    ]))
+    exposed = quality.pii_columns(daily, privacy.DIRECT_PII)
+    if exposed:
+        raise quality.GateClosed(f"gold exposes {exposed}")
+    table.publish(daily, run_id)
+
+
+@query("J10_gated_publish", expect("""
+SELECT *, CASE WHEN successful_orders > 0 THEN total_revenue / CAST(successful_orders AS DOUBLE) END AS avg_delivered_value
+FROM daily""", "daily"))
+def _(spark, sf):
+    table = VersionedTable(spark, scratch_path(spark, "gold"))
+    publish_daily_sales(warehouse.silver_orders(spark, sf), table, "run1")
+    return table.read()
+
+
 @query("J11_completeness", expect("""
 SELECT run_id, pipeline_id, records_extracted, records_loaded, records_rejected,
        records_extracted - records_loaded - records_rejected AS unaccounted,
@@ -277,7 +283,7 @@ SELECT 'text' AS column_name, 'email' AS pattern, count(*) FILTER (regexp_matche
 UNION ALL SELECT 'text', 'phone', count(*) FILTER (regexp_matches(text, '\\+?[0-9][0-9() -]{8,}[0-9]')) FROM documents
 UNION ALL SELECT 'source', 'email', 0 UNION ALL SELECT 'source', 'phone', 0""")
 def _(spark, sf):
-    documents = table(spark, sf, "documents").select("text", "source")
+    documents = given_table(spark, sf, "documents").select("text", "source")
     return quality.pii_value_counts(documents, {
         "email": r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", "phone": r"\+?[0-9][0-9() -]{8,}[0-9]",
     })

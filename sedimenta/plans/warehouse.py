@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from sedimenta.operators import gold, star
 from sedimenta.sources import entities
 from sedimenta.sources.readers import table
 
+CONFIG = Path(__file__).resolve().parents[2] / "config"
 LOAD_DATE = "2024-01-01"
 
 

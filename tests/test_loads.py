@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from sedimenta import session
 from sedimenta.operators.incremental import incremental_load
+from sedimenta.operators.ingest import ingest, specs_from_rows
 from sedimenta.session import scratch_path
 from sedimenta.sources import formats, readers
+from sedimenta.sources.config import read_config
 from sedimenta.sources.tables import LandingTable, VersionedTable, WatermarkControl
 from sedimenta.streaming import sinks
 
@@ -112,6 +114,34 @@ def test_stream_continues_from_its_checkpoint(spark):
     assert files.read().count() == 12
 
 
+def test_interval_trigger(spark):
+    path, root = scratch_path(spark, "in"), scratch_path(spark, "out")
+    files = sinks.BatchFiles(spark, f"{root}/f")
+    spark.range(5).write.json(path)
+    query = sinks.run_every(sinks.ndjson_stream(spark, path, spark.range(1).schema), files.append, f"{root}/c", "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert files.read().count() == 5
+
+
+def test_config_files(tmp_path):
+    target = tmp_path / "c.json"
+    target.write_text('{"sources": [{"id": "p1", "name": "n", "source_type": "csv", "target_table": "t", "ingestion_mode": "full_load", "primary_key": "k"}]}')
+    (spec,) = specs_from_rows(read_config(target)["sources"])
+    assert spec.is_active == 1 and spec.pii_columns == () and spec.watermark_column is None
+    pytest.importorskip("yaml")
+    (tmp_path / "c.yaml").write_text("contracts:\n  orders:\n    required_columns: [order_id]\n")
+    assert read_config(tmp_path / "c.yaml") == {"contracts": {"orders": {"required_columns": ["order_id"]}}}
+
+
+def test_inactive_sources_are_skipped(spark):
+    spec = specs_from_rows([{"id": "p1", "name": "n", "source_type": "table", "target_table": "t", "ingestion_mode": "full_load",
+                             "primary_key": "id", "is_active": 0}])
+    assert ingest(spark, spec, {}, scratch_path(spark, "none"), "r") == []
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Cluster:
         class conf:

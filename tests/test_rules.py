@@ -80,6 +80,20 @@ def test_missing_column_halts_the_run(spark):
     assert verdict["verdict"] == "HALT_RUN" and verdict["failed_schema_checks"] == 2
 
 
+def test_closed_gate_leaves_the_published_version(spark, sf):
+    from sedimenta.plans import warehouse
+    from sedimenta.plans.quality import publish_daily_sales
+    from sedimenta.session import scratch_path
+    from sedimenta.sources.tables import VersionedTable
+
+    table = VersionedTable(spark, scratch_path(spark, "gold"))
+    silver = warehouse.silver_orders(spark, sf)
+    publish_daily_sales(silver, table, "good")
+    with pytest.raises(GateClosed):
+        publish_daily_sales(silver.withColumn("total_amount", -F.col("total_amount")), table, "bad")
+    assert table.current()["run_id"] == "good"
+
+
 def test_drift_of_one_event_spoils_no_other(spark, rows):
     events = spark.createDataFrame([
         (49, '{"event_id":"evt_0049","user_id":7}'),
