@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.operators.merge import upsert
 from sedimenta.session import materialise
 
 
@@ -82,6 +83,19 @@ def plan_profile(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+def upsert_partitions(
+    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], update: list[str], seq: list[str], partition: str
+) -> DataFrame:
+    """Upsert that reads and rewrites only the partitions the batch touches.
+
+    A key must never change its partition, as with orders stored by order date. The partition
+    values brought to the driver are at most as many as the table has directories.
+    """
+    touched = [r[0] for r in batch.select(partition).distinct().collect()]
+    current = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    return refresh_groups(spark, path, upsert(current, batch, keys, update, seq), partition)
+
+
 def refresh_groups(
     spark: SparkSession, path: str, recomputed: DataFrame, partition: str
 ) -> DataFrame:

@@ -48,33 +48,35 @@ def new_members(source: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 
 def load_facts(
-    items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame,
-    loaded: DataFrame | None = None,
+    items: DataFrame, orders: DataFrame, *, customers: DataFrame | None = None, products: DataFrame | None = None,
+    stores: DataFrame | None = None, loaded: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with dimension keys; an unmatched dimension gives the unknown member.
 
-    Only orders without any loaded line are taken, so late lines of a loaded order are skipped.
-    Orders get their customer and store keys before they meet the lines: the wide side is shuffled
-    once by order and once by product, and never by a key that a hot customer dominates.
+    Only the dimensions passed are looked up, as Spark cannot drop a left join it does not need.
+    With ``loaded``, only orders without any loaded line are taken, so late lines of a loaded order
+    are skipped. Orders get their customer and store keys before they meet the lines: the wide side
+    is shuffled once by order and once by product, never by a key that a hot customer dominates.
     """
-    current_customers = customers.where(F.col("is_current") == 1).select("customer_id", "customer_sk")
-    current_products = products.where(F.col("is_current") == 1).select("product_id", "product_sk")
     if loaded is not None:
         orders = orders.join(loaded.select("order_id").distinct(), "order_id", "left_anti")
-    keyed_orders = (
-        orders.join(current_customers, "customer_id", "left")
-        .join(stores.select("store_id", "store_sk"), "store_id", "left")
-        .select("order_id", or_unknown("customer_sk").alias("customer_sk"), or_unknown("store_sk").alias("store_sk"),
-                date_key("created_at").alias("date_key"))
-    )
-    return (
-        items.join(keyed_orders, "order_id")
-        .join(current_products, "product_id", "left")
-        .select(
-            "order_id", "customer_sk", or_unknown("product_sk").alias("product_sk"), "store_sk", "date_key",
-            "quantity", "unit_price", "total_price", "discount_amount",
-            (F.col("total_price") - F.col("discount_amount")).alias("net_amount"),
-        )
+    order_keys, line_keys = [], []
+    if customers is not None:
+        current = customers.where(F.col("is_current") == 1).select("customer_id", "customer_sk")
+        orders = orders.join(current, "customer_id", "left")
+        order_keys.append("customer_sk")
+    if stores is not None:
+        orders = orders.join(stores.select("store_id", "store_sk"), "store_id", "left")
+        order_keys.append("store_sk")
+    keyed = orders.select("order_id", *[or_unknown(k).alias(k) for k in order_keys], date_key("created_at").alias("date_key"))
+    lines = items.join(keyed, "order_id")
+    if products is not None:
+        current = products.where(F.col("is_current") == 1).select("product_id", "product_sk")
+        lines = lines.join(current, "product_id", "left")
+        line_keys.append(or_unknown("product_sk").alias("product_sk"))
+    return lines.select(
+        "order_id", *order_keys, *line_keys, "date_key", "quantity", "unit_price", "total_price", "discount_amount",
+        (F.col("total_price") - F.col("discount_amount")).alias("net_amount"),
     )
 
 

@@ -160,10 +160,7 @@ SELECT order_id, count(*) AS lines FROM facts WHERE order_id NOT IN (SELECT orde
 GROUP BY order_id""", "facts"))
 def _(spark, sf):
     loaded = entities.order_items(spark, sf).where(F.col("return_flag") == "R")
-    new = star.load_facts(
-        entities.order_items(spark, sf), entities.source_orders(spark, sf), warehouse.dim_customer(spark, sf),
-        warehouse.dim_product(spark, sf), warehouse.dim_store(spark, sf), loaded=loaded,
-    )
+    new = warehouse.facts(spark, sf, loaded=loaded)
     return new.groupBy("order_id").agg(F.count("*").alias("lines"))
 
 

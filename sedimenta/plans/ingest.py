@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta.functions.money import sum_money
-from sedimenta.operators import audit, cdc, gold, ingest, merge, ordered, routing, vault
+from sedimenta.operators import audit, cdc, gold, ingest, layout, merge, ordered, routing, vault
 from sedimenta.operators.incremental import incremental_load
 from sedimenta.plans import landing, warehouse
 from sedimenta.plans.expected import expect
@@ -257,6 +257,29 @@ def _(spark, sf):
     return merge.upsert(target, batch, ["order_id"], ["order_status", "total_amount", "updated_at"], ["updated_at"])
 
 
+@query("A13_upsert_touched_partitions", expect("""
+SELECT order_id, CASE WHEN created_at >= TIMESTAMP '2000-06-01 00:00:00' THEN 'DELIVERED' ELSE order_status END AS order_status,
+       CASE WHEN created_at >= TIMESTAMP '2000-06-01 00:00:00' THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at,
+       CAST(strftime(created_at, '%Y%m') AS INTEGER) AS order_month
+FROM headers WHERE created_at < TIMESTAMP '2000-09-01 00:00:00' OR order_status <> 'PENDING'""", "headers"))
+def _(spark, sf):
+    orders = entities.order_headers(spark, sf)
+    month = (F.year("created_at") * 100 + F.month("created_at")).alias("order_month")
+    path = scratch_path(spark, "by-month")
+    known = orders.where(F.col("created_at") < F.lit("2000-09-01 00:00:00").cast("timestamp_ntz"))
+    stored = known.select("order_id", "order_status", "updated_at", month)
+    stored.hint("rebalance", F.col("order_month")).write.partitionBy("order_month").parquet(path)
+    # Since June everything known is delivered; of the later orders only those no longer pending arrive.
+    late = orders.where(F.col("created_at") >= F.lit("2000-06-01 00:00:00").cast("timestamp_ntz"))
+    arrived = late.where((F.col("created_at") < F.lit("2000-09-01 00:00:00").cast("timestamp_ntz")) | (F.col("order_status") != "PENDING"))
+    batch = arrived.select(
+        "order_id", F.lit("DELIVERED").alias("order_status"), F.timestamp_add("DAY", F.lit(1), F.col("updated_at")).alias("updated_at"), month
+    )
+    return layout.upsert_partitions(
+        spark, path, batch, ["order_id"], ["order_status", "updated_at"], ["updated_at"], "order_month"
+    )
+
+
 @query("A14_upsert_aggregate", expect("""
 , fresh AS (SELECT order_date AS summary_date, store_id, count(order_id) AS total_orders, count(order_id) AS successful_orders,
   CAST(sum(CAST(total_amount AS DECIMAL(14,2))) AS DOUBLE) AS total_revenue FROM silver_orders

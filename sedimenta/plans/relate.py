@@ -16,7 +16,7 @@ SELECT f.order_id, f.date_key, f.quantity, s.store_name, s.state FROM facts f JO
     "facts"))
 def _(spark, sf):
     stores = warehouse.dim_store(spark, sf).select("store_sk", "store_name", "state")
-    return warehouse.facts(spark, sf).join(stores, "store_sk").select(
+    return warehouse.facts(spark, sf, "stores").join(stores, "store_sk").select(
         "order_id", "date_key", "quantity", "store_name", "state"
     )
 

@@ -57,10 +57,12 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     return calendar(bounds, "first_day", "last_day")
 
 
-def facts(spark: SparkSession, sf: str) -> DataFrame:
+def facts(spark: SparkSession, sf: str, *dims: str, loaded: DataFrame | None = None) -> DataFrame:
+    """The order line facts with the keys of the named dimensions, of all three by default."""
+    build = {"customers": dim_customer, "products": dim_product, "stores": dim_store}
     return star.load_facts(
-        entities.order_items(spark, sf), entities.source_orders(spark, sf),
-        dim_customer(spark, sf), dim_product(spark, sf), dim_store(spark, sf),
+        entities.order_items(spark, sf), entities.source_orders(spark, sf), loaded=loaded,
+        **{d: build[d](spark, sf) for d in dims or build},
     )
 
 

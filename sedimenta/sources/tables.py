@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.session import path_exists
 
@@ -92,7 +93,11 @@ class LandingTable:
         return observation.get
 
     def _route(self, route: str) -> DataFrame:
-        return self.spark.read.parquet(self.root).where(F.col("route") == route).drop("route")
+        # Run ids that look like numbers or dates must not be read as such.
+        found = self.spark.read.parquet(self.root).schema
+        fields = [T.StructField(f.name, T.StringType()) if f.name == "run_id" else f for f in found]
+        rows = self.spark.read.schema(T.StructType(fields)).parquet(self.root)
+        return rows.where(F.col("route") == route).drop("route")
 
     def valid(self) -> DataFrame:
         return self._route("valid").drop("reason_code")

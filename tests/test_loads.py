@@ -48,6 +48,11 @@ def test_watermark_follows_valid_rows_only(spark, load):
     assert sorted(r["order_id"] for r in load.target.valid().collect()) == [1, 3]
 
 
+def test_numeric_run_ids_stay_text(spark, load):
+    load(orders(spark, (1, 5.0, "2024-01-01")), "007")
+    assert load.target.valid().first()["run_id"] == "007"
+
+
 def test_watermark_may_pass_rejects(spark, load):
     source = orders(spark, (1, 5.0, "2024-01-01"), (2, -1.0, "2024-01-03"))
     assert load(source, "r1", advance_over_rejects=True).new_watermark == "2024-01-03 00:00:00"

@@ -89,3 +89,27 @@ def test_z_order_narrows_both_columns(spark, sf):
 
 def test_facts_point_at_the_unknown_member(spark, sf):
     assert warehouse.facts(spark, sf).where("customer_sk = -1").count() > 0
+
+
+def test_adaptive_execution_splits_a_hot_customer(spark, no_broadcast):
+    """A fact-to-dimension join with a third of the facts at one customer, sized for the test."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000)
+        facts = spark.range(0, 200_000, 1, 8).select(hot.alias("customer_id"), F.rand(1).alias("amount"))
+        dim = spark.range(5000).select(F.col("id").alias("customer_id"), (F.col("id") * 7).alias("customer_sk"))
+        joined = facts.join(dim, "customer_id", "left").groupBy("customer_sk").agg(F.count("*").alias("n"))
+        assert joined.agg(F.sum("n")).first()[0] == 200_000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
