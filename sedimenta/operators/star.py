@@ -60,26 +60,58 @@ def load_facts(
     """
     if loaded is not None:
         orders = orders.join(loaded.select("order_id").distinct(), "order_id", "left_anti")
-    order_keys, line_keys = [], []
-    if customers is not None:
-        current = customers.where(F.col("is_current") == 1).select("customer_id", "customer_sk")
-        orders = orders.join(current, "customer_id", "left")
-        order_keys.append("customer_sk")
-    if stores is not None:
-        orders = orders.join(stores.select("store_id", "store_sk"), "store_id", "left")
-        order_keys.append("store_sk")
-    keyed = orders.select("order_id", *[or_unknown(k).alias(k) for k in order_keys], date_key("created_at").alias("date_key"))
+    keyed, keys = _keyed_orders(orders, customers, stores)
     lines = items.join(keyed, "order_id")
     if products is not None:
         current = products.where(F.col("is_current") == 1).select("product_id", "product_sk")
         lines = lines.join(current, "product_id", "left")
-        line_keys.append(or_unknown("product_sk").alias("product_sk"))
+        keys = [*keys, or_unknown("product_sk").alias("product_sk")]
     return lines.select(
-        "order_id", *order_keys, *line_keys, "date_key", "quantity", "unit_price", "total_price", "discount_amount",
+        "order_id", *keys, "date_key", "quantity", "unit_price", "total_price", "discount_amount",
+        (F.col("total_price") - F.col("discount_amount")).alias("net_amount"),
+    )
+
+
+def load_order_facts(
+    items: DataFrame, orders: DataFrame, *, customers: DataFrame | None = None, stores: DataFrame | None = None
+) -> DataFrame:
+    """Facts at order grain: lines are summed per order before they meet the order.
+
+    The sums leave the lines partitioned by order, which is what the join needs, so aggregating
+    first costs no shuffle and everything behind it handles one row per order.
+    """
+    keyed, keys = _keyed_orders(orders, customers, stores)
+    sums = items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        *[F.sum(m).alias(m) for m in ("quantity", "total_price", "discount_amount")],
+    )
+    return sums.join(keyed, "order_id").select(
+        "order_id", *keys, "date_key", "line_count", "quantity", "total_price", "discount_amount",
         (F.col("total_price") - F.col("discount_amount")).alias("net_amount"),
     )
 
 
+def to_order_grain(facts: DataFrame) -> DataFrame:
+    """A stored line fact table reduced to order grain."""
+    measures = ["quantity", "total_price", "discount_amount", "net_amount"]
+    keys = [c for c in ("order_id", "customer_sk", "store_sk", "date_key") if c in facts.columns]
+    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("line_count"), *[F.sum(m).alias(m) for m in measures])
+
+
+def _keyed_orders(orders: DataFrame, customers: DataFrame | None, stores: DataFrame | None) -> tuple[DataFrame, list]:
+    """Orders with their date key and the keys of the given dimensions, and the names of those keys."""
+    keys = []
+    if customers is not None:
+        current = customers.where(F.col("is_current") == 1).select("customer_id", "customer_sk")
+        orders = orders.join(current, "customer_id", "left")
+        keys.append("customer_sk")
+    if stores is not None:
+        orders = orders.join(stores.select("store_id", "store_sk"), "store_id", "left")
+        keys.append("store_sk")
+    keyed = orders.select("order_id", *[or_unknown(k).alias(k) for k in keys], date_key("created_at").alias("date_key"))
+    return keyed, keys
+
+
 def repoint_late(facts: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Give facts at the unknown customer their real key once the dimension row has arrived.
 
@@ -97,10 +129,10 @@ def repoint_late(facts: DataFrame, orders: DataFrame, customers: DataFrame) -> D
     return known.unionByName(repointed.select(*facts.columns))
 
 
-def daily_snapshot(facts: DataFrame) -> DataFrame:
+def daily_snapshot(order_facts: DataFrame) -> DataFrame:
     """Periodic snapshot: one row per store and day with sales."""
-    return facts.groupBy("date_key", "store_sk").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+    return order_facts.groupBy("date_key", "store_sk").agg(
+        F.count("order_id").alias("total_orders"),
         F.sum("quantity").alias("total_items_sold"),
         sum_exact("total_price").alias("total_gross_revenue"),
         sum_exact("net_amount").alias("total_net_revenue"),

@@ -13,11 +13,6 @@ from sedimenta.session import materialise
 from sedimenta.sources import entities
 
 
-def _plain_facts(spark, sf):
-    """Facts for queries by date alone: no dimension is looked up."""
-    return star.load_facts(entities.order_items(spark, sf), entities.order_headers(spark, sf))
-
-
 @query("D1_gold_daily_sales", expect("""
 SELECT *, CASE WHEN successful_orders > 0 THEN total_revenue / CAST(successful_orders AS DOUBLE) END AS avg_delivered_value
 FROM daily""", "daily"))
@@ -31,7 +26,7 @@ SELECT f.date_key, f.store_sk, s.store_name, s.state, count(DISTINCT f.order_id)
        CAST(sum(f.net_amount) AS DOUBLE) AS net_revenue
 FROM facts f JOIN dim_store s ON f.store_sk = s.store_sk GROUP BY ALL""", "facts"))
 def daily_store_sales(spark, sf):
-    return gold.daily_store_sales(warehouse.facts(spark, sf, "stores"), warehouse.dim_store(spark, sf))
+    return gold.daily_store_sales(warehouse.order_facts(spark, sf, "stores"), warehouse.dim_store(spark, sf))
 
 
 @query("D3_executive_kpi", expect("""
@@ -42,12 +37,12 @@ SELECT d.year, d.month, d.month_name, count(DISTINCT f.order_id) AS total_orders
        round(CAST(sum(f.net_amount) AS DOUBLE) / CAST(count(DISTINCT f.order_id) AS DOUBLE), 2) AS revenue_per_order
 FROM facts f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month, d.month_name""", "facts", "dim_date"))
 def executive_kpi(spark, sf):
-    return gold.executive_kpi(_plain_facts(spark, sf), warehouse.dim_date(spark, sf))
+    return gold.executive_kpi(warehouse.order_facts(spark, sf), warehouse.dim_date(spark, sf))
 
 
 def spend(spark, sf):
     return gold.customer_spend(
-        warehouse.facts(spark, sf, "customers"), warehouse.dim_customer(spark, sf), warehouse.dim_date(spark, sf)
+        warehouse.order_facts(spark, sf, "customers"), warehouse.dim_customer(spark, sf), warehouse.dim_date(spark, sf)
     )
 
 
@@ -120,7 +115,7 @@ SELECT date_key, store_sk, count(DISTINCT order_id) AS total_orders, CAST(sum(qu
        CAST(sum(total_price) AS DOUBLE) AS total_gross_revenue, CAST(sum(net_amount) AS DOUBLE) AS total_net_revenue
 FROM facts GROUP BY date_key, store_sk""", "facts"))
 def _(spark, sf):
-    return star.daily_snapshot(warehouse.facts(spark, sf, "stores"))
+    return star.daily_snapshot(warehouse.order_facts(spark, sf, "stores"))
 
 
 @query("D12_dense_snapshot", expect("""
@@ -136,7 +131,7 @@ def _(spark, sf):
         F.min(F.to_date("created_at")).alias("first_day"), F.max(F.to_date("created_at")).alias("last_day")
     )
     spine = star.store_days(warehouse.dim_store(spark, sf).select("store_sk"), days)
-    return star.dense_snapshot(star.daily_snapshot(warehouse.facts(spark, sf, "stores")), spine)
+    return star.dense_snapshot(star.daily_snapshot(warehouse.order_facts(spark, sf, "stores")), spine)
 
 
 @query("D13_order_lifecycle", expect("""
@@ -234,7 +229,7 @@ FROM (SELECT customer_sk, date_key // 100 AS order_month, count(DISTINCT order_i
       WHERE customer_sk <> -1 GROUP BY ALL)
 WINDOW w AS (PARTITION BY customer_sk ORDER BY order_month)""", "facts"))
 def monthly_orders(spark, sf):
-    return gold.monthly_orders(warehouse.facts(spark, sf, "customers"))
+    return gold.monthly_orders(warehouse.order_facts(spark, sf, "customers"))
 
 
 @query("E4_running_revenue", expect("""
@@ -242,7 +237,7 @@ SELECT date_key, CAST(daily_net AS DOUBLE) AS daily_net,
        CAST(sum(daily_net) OVER (ORDER BY date_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total
 FROM (SELECT date_key, sum(net_amount) AS daily_net FROM facts GROUP BY date_key)""", "facts"))
 def running_revenue(spark, sf):
-    daily = _plain_facts(spark, sf).groupBy("date_key").agg(F.sum("net_amount").alias("daily_net"))
+    daily = warehouse.order_facts(spark, sf).groupBy("date_key").agg(F.sum("net_amount").alias("daily_net"))
     return ordered.ordered_window(
         materialise(daily, "daily-net"), {"running_total": ordered.running_sum("daily_net")},
         order_by=[("date_key", "asc")], tiebreak=[],

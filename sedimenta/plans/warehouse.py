@@ -66,6 +66,13 @@ def facts(spark: SparkSession, sf: str, *dims: str, loaded: DataFrame | None = N
     )
 
 
+def order_facts(spark: SparkSession, sf: str, *dims: str) -> DataFrame:
+    """The facts at order grain with the keys of the named dimensions, none by default."""
+    build = {"customers": dim_customer, "stores": dim_store}
+    orders = entities.source_orders(spark, sf) if "stores" in dims else entities.order_headers(spark, sf)
+    return star.load_order_facts(entities.order_items(spark, sf), orders, **{d: build[d](spark, sf) for d in dims})
+
+
 def change_log(spark: SparkSession, sf: str) -> DataFrame:
     """Address changes: the first address, and a new one with each day's last urgent order."""
     first = entities.customers(spark, sf).select(

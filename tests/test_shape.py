@@ -113,3 +113,16 @@ def test_adaptive_execution_splits_a_hot_customer(spark, no_broadcast):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_order_grain_from_a_stored_fact_table(spark, sf, rows):
+    from sedimenta.operators import gold, star
+
+    stores = warehouse.dim_store(spark, sf)
+    stored = star.to_order_grain(warehouse.facts(spark, sf, "stores"))
+    assert rows(gold.daily_store_sales(stored, stores)) == rows(QUERIES["D2_gold_daily_store_sales"].build(spark, sf))
+
+
+def test_order_facts_shuffle_the_lines_once(spark, sf, no_broadcast):
+    text = plan(warehouse.order_facts(spark, sf))
+    assert text.count("Exchange hashpartitioning(order_id") == 2  # lines and orders, nothing between sum and join
