@@ -145,13 +145,16 @@ def _bucketed(df, partition_by, order_by, tiebreak, buckets) -> _Layout:
 
 
 def _bounds(keys: DataFrame, buckets: int | None) -> list:
-    """Sort keys that cut the frame into about equal buckets, from a sample of bounded size."""
+    """Sort keys that cut the frame into about equal buckets, from a sample of bounded size.
+
+    The sample is sorted in one task: a range sort would scan the input once more for its own bounds.
+    """
     rows = keys.count()
     if buckets is None:
         buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, rows // ROWS_PER_BUCKET + 1))
     wanted = buckets * SAMPLES_PER_BUCKET
     sampled = keys if rows <= wanted else keys.sample(wanted / rows, seed=17)
-    ordered = [r[_SORT] for r in sampled.orderBy(_SORT).collect()]
+    ordered = [r[_SORT] for r in sampled.repartition(1).sortWithinPartitions(_SORT).collect()]
     cuts = [ordered[len(ordered) * i // buckets] for i in range(1, buckets)] if ordered else []
     return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 

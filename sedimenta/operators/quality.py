@@ -98,6 +98,15 @@ def evaluate(df: DataFrame, rules: list[Rule] | tuple[Rule, ...]) -> DataFrame:
     )
 
 
+def as_results(results: DataFrame, run_id: str, pipeline_id: str, check_ts: str) -> DataFrame:
+    """Check outcomes as rows of the quality log."""
+    return results.select(
+        F.lit(run_id).alias("run_id"), F.lit(pipeline_id).alias("pipeline_id"),
+        "check_name", "check_type", "status", "failed_count",
+        F.lit(check_ts).cast("timestamp_ntz").alias("check_timestamp"),
+    )
+
+
 def _count(rule: Rule) -> Column:
     if rule.kind == "row_count_between":
         low, high = rule.args

@@ -23,6 +23,10 @@ UNKNOWN_PRODUCT = {
 UNKNOWN_STORE = {
     "store_sk": -1, "store_id": -1, "store_name": "Unknown Store", "city": "Unknown", "state": "Unknown",
 }
+UNKNOWN_PRESCRIPTION = {
+    "prescription_sk": -1, "prescription_id": -1, "customer_id": -1, "sphere_left": 0.0, "sphere_right": 0.0,
+    "lens_type": "Unknown", "created_at": "1900-01-01 00:00:00",
+}
 
 
 def unknown_member(dim: DataFrame, member: dict) -> DataFrame:

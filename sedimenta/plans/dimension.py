@@ -37,6 +37,14 @@ def _(spark, sf):
     return out.unionByName(products).unionByName(stores)
 
 
+@query("I2_unknown_prescription", expect("""
+SELECT CAST('0x' || substr(sha256(concat_ws('_', order_id, product_id, partner_id, line_number, quantity, unit_price, discount, tax)), 1, 15) AS BIGINT) AS prescription_sk,
+       order_id AS prescription_id, category AS lens_type FROM items JOIN products USING (product_id)
+UNION ALL SELECT -1, -1, 'Unknown'""", "items", "products"))
+def _(spark, sf):
+    return warehouse.dim_prescription(spark, sf)
+
+
 def moves(spark, sf):
     """Staged changes: the destination of each customer's urgent orders, several rows per customer."""
     urgent = entities.order_headers(spark, sf).where(F.col("priority") == "1-URGENT")

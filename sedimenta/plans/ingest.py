@@ -54,6 +54,16 @@ def _(spark, sf):
     return readers.page_completeness(landing.landed_pages(spark, sf))
 
 
+@query("A4_silver_payments", "WITH " + _PAYMENTS + """
+SELECT payment_id, order_id, payment_method, payment_status, amount FROM payments""")
+def _(spark, sf):
+    # A page fetched twice delivers its payments twice; the key removes them, the card digits stay in bronze.
+    bronze = readers.page_records(landing.landed_pages(spark, sf))
+    fetched = bronze.unionByName(bronze.where(F.col("payment_status") == "FAILED"))
+    silver = merge.latest_per_key(fetched.where(F.col("amount") >= 0), ["payment_id"], ["created_at", "page"])
+    return vault.minimise(silver, ["payment_id", "order_id", "payment_method", "payment_status", "amount"])
+
+
 @query("A5_table_scan_projection", """
 SELECT o_orderkey AS order_id, o_totalprice AS total_amount FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'""")
 def _(spark, sf):

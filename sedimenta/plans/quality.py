@@ -150,6 +150,20 @@ def _(spark, sf):
     ])
 
 
+@query("J9_quality_log", expect("""
+SELECT 'r1' AS run_id, 'p001' AS pipeline_id, 'email_has_at' AS check_name, 'contains' AS check_type, 'FAILED' AS status,
+       count(*) FILTER (email NOT LIKE '%@%') AS failed_count, TIMESTAMP '2024-02-01 00:00:00' AS check_timestamp FROM customers
+UNION ALL SELECT 'r1', 'p001', 'customer_unique', 'unique', 'PASSED', count(*) - count(DISTINCT customer_id), TIMESTAMP '2024-02-01 00:00:00' FROM customers
+UNION ALL SELECT 'r1', 'p001', 'phone_length', 'length', 'PASSED', count(*) FILTER (length(phone) NOT BETWEEN 13 AND 13), TIMESTAMP '2024-02-01 00:00:00' FROM customers""", "customers"))
+def _(spark, sf):
+    outcome = quality.evaluate(entities.customers(spark, sf), [
+        Rule("email_has_at", "contains", "email", ("@",)),
+        Rule("customer_unique", "unique", "customer_id"),
+        Rule("phone_length", "length", "phone", (13, 13)),
+    ])
+    return quality.as_results(outcome, "r1", "p001", AS_OF)
+
+
 @query("J10_publish_gate", expect("""
 SELECT 'customers' AS subject, 12::BIGINT AS checks, 2::BIGINT AS failed_checks, 0::BIGINT AS failed_schema_checks, 'HALT_PUBLISH' AS verdict
 FROM customers WHERE email NOT LIKE '%@%' HAVING count(*) > 0

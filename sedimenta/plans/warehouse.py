@@ -109,6 +109,16 @@ def audit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def dim_prescription(spark: SparkSession, sf: str) -> DataFrame:
+    """The prescription dimension with a deterministic key over the identifying columns of a line."""
+    identity = ["order_id", "product_id", "partner_id", "line_number", "quantity", "unit_price", "discount", "tax"]
+    lenses = entities.products(spark, sf).select("product_id", F.col("category").alias("lens_type"))
+    rows = entities.order_items(spark, sf).join(lenses, "product_id").select(
+        number_key(*identity).alias("prescription_sk"), F.col("order_id").alias("prescription_id"), "lens_type"
+    )
+    return star.seeded(rows, star.UNKNOWN_PRESCRIPTION)
+
+
 def prescriptions(spark: SparkSession, sf: str) -> DataFrame:
     """One prescription per order line: lens type from the product, four measures from the line."""
     items = entities.order_items(spark, sf)
