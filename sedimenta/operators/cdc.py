@@ -18,10 +18,13 @@ def apply_flat_changes(
 
     I starts a new life of the key with the event's values, U changes the ``update`` columns it
     supplies (NULL = not supplied) of a living key, D ends the life. U on a dead key does nothing.
-    ``seq`` must order the events of a key totally.
+    ``seq`` must order the events of a key totally. Stored rows without events pass by the
+    aggregation; when the changed keys are few enough for Spark to broadcast, they are not even
+    shuffled.
     """
     columns = [c for c in target.columns if c != key]
-    stored = target.select(
+    touched = changes.select(key).distinct()
+    stored = target.join(touched, key, "left_semi").select(
         key, *columns, F.lit("I").alias("op"),
         F.struct(F.lit(0).alias("late"), *[F.lit(None).cast(changes.schema[s].dataType).alias(s) for s in seq]).alias("_seq"),
     )
@@ -46,9 +49,10 @@ def apply_flat_changes(
         newest = F.col(f"_u_{column}")
         return F.when(newest["_seq"] > F.col("_life._seq"), newest["value"]).otherwise(born)
 
-    return folded.where(F.col("_life.op") == "I").select(
+    alive = folded.where(F.col("_life.op") == "I").select(
         *[c if c == key else value(c).alias(c) for c in target.columns]
     )
+    return target.join(touched, key, "left_anti").unionByName(alive)
 
 
 def apply_envelopes(target: DataFrame, envelopes: DataFrame, key: str, seq: list[str]) -> DataFrame:

@@ -99,7 +99,7 @@ def ordered_window(
     """Add the columns named in ``calls`` to ``df``.
 
     ``order_by`` lists ``(column, "asc" | "desc")``; descending columns must be numbers, dates or
-    timestamps with time zone. ``df`` is read several times, so pass a table or a materialised frame.
+    timestamps (not text or timestamps without zone). ``df`` is read several times, so pass a table or a materialised frame.
     """
     layout = _bucketed(df, list(partition_by), order_by, tiebreak, buckets)
     local = _local(layout, calls)

@@ -90,6 +90,7 @@ def shift_previous(dim: DataFrame, changes: DataFrame, key: str, column: str, pr
 
 def validate_history(dim: DataFrame, key: str, tiebreak: list[str] | None = None) -> DataFrame:
     """Violations of a type 2 table: current rows per key, version numbering, gaps and overlaps."""
+    dim = materialise(dim.select(key, "version", "effective_date", "expiry_date", "is_current"), "history")
     per_key = dim.groupBy(key).agg(
         F.sum("is_current").alias("_current"),
         F.count("*").alias("_n"),
@@ -98,8 +99,7 @@ def validate_history(dim: DataFrame, key: str, tiebreak: list[str] | None = None
     )
     distinct = dim.groupBy(key, "version").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
     follow = ordered.ordered_window(
-        materialise(dim.select(key, "version", "effective_date", "expiry_date"), "history"),
-        {"_next": ordered.lead("effective_date")},
+        dim, {"_next": ordered.lead("effective_date")},
         partition_by=[key], order_by=[("version", "asc")], tiebreak=tiebreak or ["effective_date"],
     )
     gap = F.col("_next").isNotNull() & ~F.col("expiry_date").eqNullSafe(F.col("_next"))

@@ -9,6 +9,7 @@ from sedimenta.operators import ordered, scd, star
 from sedimenta.plans import warehouse
 from sedimenta.plans.expected import expect
 from sedimenta.plans.registry import query
+from sedimenta.session import materialise
 from sedimenta.sources import entities
 
 AS_OF = "2024-06-01"
@@ -76,7 +77,7 @@ def _merged(spark, sf, detect: bool):
         "version",
     )
     return scd.merge_history(
-        dim, moves(spark, sf), "customer_id", ["city"], AS_OF, ["created_at", "order_id"], detect_changes=detect
+        materialise(dim, "dim"), moves(spark, sf), "customer_id", ["city"], AS_OF, ["created_at", "order_id"], detect_changes=detect
     )
 
 
