@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import jaccard_join
+from sedimenta.llm import jaccard_join, substring_dedup
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Build] = {f.__name__: f for f in (op6_ngram_jaccard_join,)}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), keep_text=False)
+
+
+QUERIES: dict[str, Build] = {f.__name__: f for f in (op6_ngram_jaccard_join, op9_substring_dedup)}
 
 #: Results that SQL can state; the others are tested against slow models.
 EXPECTED: dict[str, str] = {}
