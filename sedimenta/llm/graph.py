@@ -69,8 +69,8 @@ def components(links: DataFrame) -> DataFrame:
     before the shuffle, and joins on them are split by AQE. Each state is written to the shared folder.
     """
     edges = links.select("a", "b").where("a <> b").mapInArrow(_thin, "a bigint, b bigint")
-    state, seen = materialise(edges.distinct(), "links"), None
-    while True:
+    state = materialise(edges.distinct(), "links")
+    while not _settled(state):
         both = state.union(state.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -79,9 +79,12 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lower, "u")
         small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select("u", "m")).where("a <> b")
         state = materialise(small.distinct(), "links")
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
     return state.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         state.select("b", "b").distinct())
+
+
+def _settled(state: DataFrame) -> bool:
+    """Whether every node has one parent at most and no parent has a parent."""
+    ends = state.select(F.col("a").alias("x"), F.lit(1).alias("child")).union(state.select("b", F.lit(0)))
+    seen = ends.groupBy("x").agg(F.sum("child").alias("up"), F.min("child").alias("low"))
+    return seen.where("up > 1 or (up = 1 and low = 0)").isEmpty()

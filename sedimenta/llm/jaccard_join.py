@@ -9,7 +9,7 @@ k grows with the size band, a power of two; a document near the next band's size
 
 Order: words that hold a rare shingle come first, words made of frequent shingles only come last, empty words
 after them. Frequency is estimated from a sample of documents; it moves work, never results. Candidates
-are verified on their whole sets. Exact copies of a set are one class from the start.
+pass a bit sketch of the same kind and are then verified on their whole sets. Exact copies of a set are one class from the start.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.hashing import buffer_of, mix, shingle_sets, slices, words
 from sedimenta.llm.links import (
-    GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, key_blobs, link_components, shared_keys)
+    GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, key_blobs, link_components, parity_sketch, shared_keys)
 from sedimenta.session import materialise
 
-#: Shingles per sketch word at the upper end of a band: over d words of a sketch are then filled.
-_LOAD = 2.5
+#: Shingles per sketch word at the upper end of a band. The fewer, the more words there are to choose rare ones from.
+_LOAD = 1.25
 #: Documents per sampled document for the estimate of frequent shingles, and the count that marks one.
 _SAMPLE, _FREQUENT = 64, 3
 
@@ -88,9 +88,10 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             sets = shingle_sets(hashes, offsets, k)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary())], names=["id", "n", "mark"])
+                 pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
+                 pa.array([parity_sketch(s) for s in sets], pa.binary())], names=["id", "n", "mark", "sketch"])
 
-    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary"), "profile")
+    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary, sketch binary"), "profile")
     whole = profile.where("id is not null and n > 0")
     classes = materialise(whole.groupBy("mark").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     entries = classes.agg(F.sum("n")).first()[0] or 0
@@ -119,6 +120,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     reps = whole.select("id", "mark").join(classes.select("mark", "rep"), "mark").select("id", "rep")
     members = shared_keys(named.mapInArrow(emit, KEY_BLOB), parts)
     members = members.join(materialise(reps, "reps"), "id").select("key", F.col("rep").alias("id")).distinct()
+    members = materialise(members, "members")
     two = members.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
 
     def load(table: np.ndarray) -> DataFrame:
@@ -133,8 +135,8 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
         return named.mapInArrow(pick, "id bigint, items binary")
 
-    members = materialise(members, "members")
-    labels = link_components(members.join(materialise(two, "keys"), "key"), load, percent, filter_bits)
+    members = members.join(materialise(two, "keys"), "key")
+    labels = link_components(members, whole.select("id", "n", "sketch"), load, percent, filter_bits)
     found = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("mark", F.coalesce("component", "rep").alias("component"))
     linked = whole.join(materialise(found, "classes"), "mark").select("id", "n", "component")
     alone = profile.where("id is null or n = 0").select("id", "n", F.col("id").alias("component"))

@@ -21,8 +21,8 @@ from sedimenta.session import materialise
 
 #: Keys that meet in one group of `shared_keys`.
 GROUP_KEYS = 2_000_000
-#: Rounds in which sets are compared with leaders before all remaining pairs are compared.
-LEADER_ROUNDS = 2
+#: Leaders that a set is compared with, round by round, before all remaining pairs are compared.
+PROBES = (4, 24)
 
 KEY_BLOB = "part int, blob binary"
 
@@ -164,6 +164,44 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
 
 
+def parity_sketch(items: np.ndarray) -> bytes:
+    """A bit sketch of a set: every item toggles one bit of 2 to 4 bits an item (64 at least).
+
+    Items that two sets share cancel out, so the Hamming distance of two sketches is at most their symmetric
+    difference. Its size is a power of two; a larger sketch folds to a smaller one.
+    """
+    bits = max(64, 1 << (2 * len(items)).bit_length())
+    flips = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size)) if len(sketch) > size else sketch
+
+
+def near_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those ``pairs`` (a, b) whose ``sketches`` (id, n, sketch) allow a link; no linked pair is lost."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            n, m = (np.asarray(batch.column(c)) for c in ("n", "m"))
+            most = (n + m) * (100 - percent) // (100 + percent)
+            sized = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            for x, y, d, fits in zip(batch.column("left"), batch.column("right"), most.tolist(), sized.tolist(), strict=True):
+                if fits:
+                    x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in (x, y))
+                    size = min(len(x), len(y))
+                    fits = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum()) <= d
+                keep.append(fits)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sketches.select(F.col("id").alias("a"), "n", F.col("sketch").alias("left"))
+    right = sketches.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("right"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "left", "right")
+    return joined.mapInArrow(check, "a bigint, b bigint").distinct()
+
+
 def _open_groups(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """(key, id, label) of the keys whose ids aren't all in one component yet."""
     if labels is None:
@@ -174,31 +212,30 @@ def _open_groups(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return materialise(known.join(mixed, "key"), "members")
 
 
-def _leader_pairs(groups: DataFrame, turn: int) -> DataFrame:
-    """Each id with a leader of two of its groups; leaders differ from group to group and turn to turn."""
-    pick = F.xxhash64("key", F.lit(turn))
-    ends = groups.groupBy("id").agg(F.min(F.struct(pick, "key")).alias("x"), F.max(F.struct(pick, "key")).alias("y"))
-    chosen = ends.select("id", F.explode(F.array_distinct(F.array("x.key", "y.key"))).alias("key"))
+def _leader_pairs(groups: DataFrame, turn: int, probes: int) -> DataFrame:
+    """Each id with a leader of up to ``probes`` of its groups; leaders differ from group to group and turn to turn."""
+    fan = groups.select("key", "id", F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(probes)).alias("slot"))
+    chosen = fan.groupBy("id", "slot").agg(F.min(F.xxhash64("key")).alias("h"))
     leader = groups.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id", F.lit(turn)), "id")).alias("l"))
-    leader = leader.select("key", F.col("l.id").alias("leader"))
-    return chosen.join(leader, "key").where("id <> leader").select(
+    leader = leader.select(F.xxhash64("key").alias("h"), F.col("l.id").alias("leader"))
+    return chosen.join(leader, "h").where("id <> leader").select(
         F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
-def link_components(members: DataFrame, load_sets: Callable[[np.ndarray], DataFrame], percent: int, bits: int) -> DataFrame:
+def link_components(members: DataFrame, sketches: DataFrame, load_sets: Callable[[np.ndarray], DataFrame], percent: int, bits: int) -> DataFrame:
     """(id, component) of all ids that have a link; ids without one are absent.
 
-    ``members`` are rows of `shared_keys`; ``load_sets`` gives (id, items) of the ids whose bit is set in
-    the table it gets. Linked ids share a key, so comparing all ids of a key is enough; an id
-    needn't be compared with ids of its own component.
+    ``members`` are rows of `shared_keys`, ``sketches`` have a row (id, n, sketch) for each of their ids at least;
+    ``load_sets`` gives (id, items) of the ids whose bit is set in the table it gets. Linked ids share a
+    key, so comparing all ids of a key is enough; an id needn't be compared with ids of its own component.
     """
     members = materialise(members, "members")
-    sets = materialise(load_sets(ids_table(members.select("id").distinct(), bits)), "sets")
-    links, labels, checked = None, None, None
-    for turn in range(LEADER_ROUNDS + 1):
+    wanted = materialise(sketches.join(members.select("id").distinct(), "id").dropDuplicates(), "sketches")
+    labels, checked = None, None
+    for turn, probes in enumerate([*PROBES, None]):
         groups = _open_groups(members, labels)
-        if turn < LEADER_ROUNDS:
-            pairs = _leader_pairs(groups, turn)
+        if probes:
+            pairs = _leader_pairs(groups, turn, probes)
         else:
             other = groups.select("key", F.col("id").alias("b"), F.col("label").alias("to"))
             pairs = groups.join(other, "key").where("label < to").select(
@@ -207,8 +244,10 @@ def link_components(members: DataFrame, load_sets: Callable[[np.ndarray], DataFr
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         checked = pairs if checked is None else checked.union(pairs)
-        found = materialise(linked_pairs(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = materialise(components(links), "components")
+        near = materialise(near_pairs(pairs, wanted, percent), "near")
+        ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        found = materialise(linked_pairs(near, load_sets(ids_table(ids, bits)), percent).distinct(), "links")
+        known = found if labels is None else found.union(labels.toDF("a", "b"))
+        labels = materialise(components(known), "components")
         members = groups.select("key", "id")
     return labels

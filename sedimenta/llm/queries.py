@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.llm import jaccard_join, substring_dedup
+from sedimenta.session import tune
 
 Build = Callable[[SparkSession, str], DataFrame]
 
 
+#: Arrow batches by size: texts differ in length by a factor of 10,000.
+BATCH_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    for key, value in BATCH_CONF.items():
+        tune(spark).conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
