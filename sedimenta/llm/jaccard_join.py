@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.hashing import buffer_of, mix, shingle_sets, slices, words
 from sedimenta.llm.links import (
-    GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, key_blobs, link_components, parity_sketch, shared_keys)
+    GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, key_blobs, link_components, parity_sketch, shared_keys, short_sketch)
 from sedimenta.session import materialise
 
 #: Shingles per sketch word at the upper end of a band. The fewer, the more words there are to choose rare ones from.
@@ -86,12 +86,14 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         for batch in slices(batches):
             hashes, offsets = words(*buffer_of(batch.column("text")), lower=True)
             sets = shingle_sets(hashes, offsets, k)
+            sketches = [parity_sketch(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                 pa.array([parity_sketch(s) for s in sets], pa.binary())], names=["id", "n", "mark", "sketch"])
+                 pa.array(sketches, pa.binary()), pa.array([short_sketch(s) for s in sketches], pa.binary())],
+                names=["id", "n", "mark", "sketch", "short"])
 
-    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary, sketch binary"), "profile")
+    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary, sketch binary, short binary"), "profile")
     whole = profile.where("id is not null and n > 0")
     classes = materialise(whole.groupBy("mark").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     entries = classes.agg(F.sum("n")).first()[0] or 0
@@ -136,7 +138,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return named.mapInArrow(pick, "id bigint, items binary")
 
     members = members.join(materialise(two, "keys"), "key")
-    labels = link_components(members, whole.select("id", "n", "sketch"), load, percent, filter_bits)
+    labels = link_components(members, whole.select("id", "n", "sketch", "short"), load, percent, filter_bits)
     found = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("mark", F.coalesce("component", "rep").alias("component"))
     linked = whole.join(materialise(found, "classes"), "mark").select("id", "n", "component")
     alone = profile.where("id is null or n = 0").select("id", "n", F.col("id").alias("component"))

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,6 +176,11 @@ def parity_sketch(items: np.ndarray) -> bytes:
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
 
+def short_sketch(sketch: bytes) -> bytes:
+    """The sketch folded to _SHORT bytes at most."""
+    return _fold(np.frombuffer(sketch, dtype=np.uint8), _SHORT).tobytes()
+
+
 def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(sketch.reshape(-1, size)) if len(sketch) > size else sketch
 
@@ -222,24 +228,91 @@ def _leader_pairs(groups: DataFrame, turn: int, probes: int) -> DataFrame:
         F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
+#: Bytes of a sketch that travel with a group's rows, rows of a group that meet in one cell, rows of a task.
+_SHORT, _BLOCK, _TASK_ROWS = 64, 1024, 50_000
+
+
+def _test_cells(percent: int):
+    """Pairs of a group's ids whose short sketches and sizes allow a link, each once per task."""
+
+    def test(table: pa.Table) -> pa.Table:
+        cell, key, ids, labels, n, block, low, high = (
+            np.asarray(table.column(c)) for c in ("cell", "key", "id", "label", "n", "block", "low", "high"))
+        short = np.zeros((len(ids), _SHORT), dtype=np.uint8)
+        for width in (8, 16, 32, _SHORT):
+            at = np.flatnonzero(np.asarray(pc.binary_length(table.column("sketch"))) == width)
+            if len(at):
+                rows = np.frombuffer(b"".join(table.column("sketch").take(pa.array(at)).to_pylist()), dtype=np.uint8)
+                short[at, :width] = rows.reshape(-1, width)
+        width = np.asarray(pc.binary_length(table.column("sketch")))
+        order = np.lexsort((ids, key, cell))
+        cut = np.flatnonzero((np.diff(key[order]) != 0) | (np.diff(cell[order]) != 0)) + 1
+        found = []
+        for at in np.split(order, cut):
+            if not len(at) or (labels[at] == labels[at[0]]).all():
+                continue
+            size = int(width[at].min())
+            bits = short[at]
+            for w in np.unique(width[at]):  # fold the wider ones to the narrowest
+                wide = np.flatnonzero(width[at] == w)
+                if w > size:
+                    bits[wide, :size] = np.bitwise_xor.reduce(bits[wide, :w].reshape(len(wide), -1, size), axis=1)
+            bits = np.ascontiguousarray(bits[:, :size]).view(np.uint64)
+            i, j = low[at[0]], high[at[0]]
+            for x in range(len(at)) if i == j else np.flatnonzero(block[at] == i):
+                rest = np.arange(x + 1, len(at)) if i == j else np.flatnonzero(block[at] == j)
+                rest = rest[labels[at[rest]] != labels[at[x]]]
+                m = n[at[rest]]
+                fits = 100 * np.minimum(m, n[at[x]]) >= percent * np.maximum(m, n[at[x]])
+                rest, m = rest[fits], m[fits]
+                apart = np.bitwise_count(bits[rest] ^ bits[x]).sum(axis=1)
+                rest = rest[apart <= (m + n[at[x]]) * (100 - percent) // (100 + percent)]
+                if len(rest):
+                    pair = np.stack([np.full(len(rest), ids[at[x]]), ids[at[rest]]])
+                    found.append(np.stack([pair.min(axis=0), pair.max(axis=0)], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return test
+
+
+def _remaining_pairs(groups: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """All pairs that share a key, lie in different components and may be linked.
+
+    Pairs are tested where they meet and only near ones are emitted. Groups with the same smallest id, mostly
+    those of one set of near copies, meet in one task, so that a pair which shares many keys comes out once;
+    a group of over _BLOCK ids is cut into blocks and their pairs, so no task holds it all.
+    """
+    spread = groups.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("m"))
+    rows = groups.join(materialise(spread, "spread"), "key").join(sketches, "id")
+    blocks = F.pow(2, F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("m") / _BLOCK)))).cast("bigint")
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    cell = F.xxhash64("first", "blocks", "low", "high")
+    rows = rows.select(cell.alias("cell"), "key", "id", "label", "n", "block", "low", "high", F.col("short").alias("sketch"))
+    tasks = 1 + groups.count() // _TASK_ROWS
+    rows = rows.withColumn("task", F.pmod(F.xxhash64("cell"), F.lit(tasks)))
+    return rows.groupBy("task").applyInArrow(_test_cells(percent), "a bigint, b bigint").distinct()
+
+
 def link_components(members: DataFrame, sketches: DataFrame, load_sets: Callable[[np.ndarray], DataFrame], percent: int, bits: int) -> DataFrame:
     """(id, component) of all ids that have a link; ids without one are absent.
 
-    ``members`` are rows of `shared_keys`, ``sketches`` have a row (id, n, sketch) for each of their ids at least;
+    ``members`` are rows of `shared_keys`, ``sketches`` have a row (id, n, sketch, short) for each of their ids at least;
     ``load_sets`` gives (id, items) of the ids whose bit is set in the table it gets. Linked ids share a
     key, so comparing all ids of a key is enough; an id needn't be compared with ids of its own component.
     """
     members = materialise(members, "members")
     wanted = materialise(sketches.join(members.select("id").distinct(), "id").dropDuplicates(), "sketches")
+    short = wanted.select("id", "n", "short")
     labels, checked = None, None
     for turn, probes in enumerate([*PROBES, None]):
         groups = _open_groups(members, labels)
         if probes:
             pairs = _leader_pairs(groups, turn, probes)
         else:
-            other = groups.select("key", F.col("id").alias("b"), F.col("label").alias("to"))
-            pairs = groups.join(other, "key").where("label < to").select(
-                F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+            pairs = _remaining_pairs(groups, short, percent)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
