@@ -138,7 +138,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return named.mapInArrow(pick, "id bigint, items binary")
 
     members = members.join(materialise(two, "keys"), "key")
-    labels = link_components(members, whole.select("id", "n", "sketch", "short"), load, percent, filter_bits)
+    labels = link_components(members, lambda _: whole.select("id", "n", "sketch", "short"), load, percent, filter_bits)
     found = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("mark", F.coalesce("component", "rep").alias("component"))
     linked = whole.join(materialise(found, "classes"), "mark").select("id", "n", "component")
     alone = profile.where("id is null or n = 0").select("id", "n", F.col("id").alias("component"))

@@ -296,15 +296,17 @@ def _remaining_pairs(groups: DataFrame, sketches: DataFrame, percent: int) -> Da
     return rows.groupBy("task").applyInArrow(_test_cells(percent), "a bigint, b bigint").distinct()
 
 
-def link_components(members: DataFrame, sketches: DataFrame, load_sets: Callable[[np.ndarray], DataFrame], percent: int, bits: int) -> DataFrame:
+def link_components(members: DataFrame, load_sketches: Callable[[np.ndarray], DataFrame],
+                    load_sets: Callable[[np.ndarray], DataFrame], percent: int, bits: int) -> DataFrame:
     """(id, component) of all ids that have a link; ids without one are absent.
 
-    ``members`` are rows of `shared_keys`, ``sketches`` have a row (id, n, sketch, short) for each of their ids at least;
-    ``load_sets`` gives (id, items) of the ids whose bit is set in the table it gets. Linked ids share a
+    ``members`` are rows of `shared_keys`. ``load_sketches`` gives (id, n, sketch, short) and ``load_sets`` (id, items)
+    of at least the ids whose bit is set in the table they get. Linked ids share a
     key, so comparing all ids of a key is enough; an id needn't be compared with ids of its own component.
     """
     members = materialise(members, "members")
-    wanted = materialise(sketches.join(members.select("id").distinct(), "id").dropDuplicates(), "sketches")
+    ids = materialise(members.select("id").distinct(), "ids")
+    wanted = materialise(load_sketches(ids_table(ids, bits)).join(ids, "id").dropDuplicates(), "sketches")
     short = wanted.select("id", "n", "short")
     labels, checked = None, None
     for turn, probes in enumerate([*PROBES, None]):

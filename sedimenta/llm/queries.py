@@ -5,32 +5,87 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sedimenta.llm import jaccard_join, substring_dedup
+from sedimenta.llm import (
+    collision_search, jaccard_join, language_id, line_dedup, packing, pii, quality_classifier, range_join, sentencepiece_bpe, substring_dedup)
 from sedimenta.session import tune
 
 Build = Callable[[SparkSession, str], DataFrame]
 
-
 #: Arrow batches by size: texts differ in length by a factor of 10,000.
 BATCH_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     for key, value in BATCH_CONF.items():
         tune(spark).conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def remainder(divisor: int):
+    """crc32 of doc_id as text, modulo ``divisor``: the fold of a document."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_search.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
+def op3_embedding_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    model = language_id.learn(docs, ~held_out)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "spans")
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encode_texts(read(spark, sf_dir, "documents"), piece_model(), keep=False)
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_classes(_read(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_classes(read(spark, sf_dir, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    model = quality_classifier.learn(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = quality_classifier.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), keep_text=False)
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "redacted")
 
 
-QUERIES: dict[str, Build] = {f.__name__: f for f in (op6_ngram_jaccard_join, op9_substring_dedup)}
+QUERIES: dict[str, Build] = {f.__name__: f for f in (
+    op1_collision_search, op2_best_fit_packing, op3_embedding_range_join, op4_language_id, op5_sentencepiece,
+    op6_ngram_jaccard_join, op7_line_dedup, op8_quality_classifier, op9_substring_dedup, op10_personal_data)}
 
 #: Results that SQL can state; the others are tested against slow models.
 EXPECTED: dict[str, str] = {}
