@@ -21,9 +21,9 @@ from sedimenta.llm.vectors import matrix, packed
 from sedimenta.session import materialise
 
 #: Vectors and queries of a block.
-VECTORS, QUERIES = 8192, 1024
+VECTORS, QUERIES = 16384, 1024
 #: Projections, half a window in units of the radius, share of collisions, first radius and growth (of the largest norm).
-PROJECTIONS, HALF_WIDTH, THRESHOLD, FIRST_RADIUS, GROWTH = 48, 0.75, 0.42, 0.2, 1.2
+PROJECTIONS, HALF_WIDTH, THRESHOLD, FIRST_RADIUS, GROWTH = 32, 0.75, 0.42, 0.4, 1.2
 
 
 def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, float]]:
@@ -41,17 +41,18 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     radii = [FIRST_RADIUS]
     while radii[-1] < 2:
         radii.append(radii[-1] * GROWTH)
+    reach = HALF_WIDTH * np.array([0.0, *radii, 2.0 * d + 64])  # the last windows cover everything
+    lows = np.stack([np.searchsorted(a, p[:, None] - reach) for a, p in zip(arrays, places.T, strict=True)], axis=2)
+    highs = np.stack([np.searchsorted(a, p[:, None] + reach, "right") for a, p in zip(arrays, places.T, strict=True)], axis=2)
+    highs[:, 0], lows[:, -1], highs[:, -1] = lows[:, 0], 0, n
     for q, qid in enumerate(query_ids.tolist()):
         counts, verified = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
-        low = high = np.array([np.searchsorted(a, p) for a, p in zip(arrays, places[q], strict=True)])
         own, best = ids != qid, np.empty(0, dtype=np.int64)
         scores = np.empty(0)
-        for radius in [*radii, np.inf]:
-            new_low = np.array([np.searchsorted(a, p - HALF_WIDTH * radius) for a, p in zip(arrays, places[q], strict=True)])
-            new_high = np.array([np.searchsorted(a, p + HALF_WIDTH * radius, "right") for a, p in zip(arrays, places[q], strict=True)])
-            fresh = [o[s] for o, x, y, z, t in zip(order, new_low, low, high, new_high, strict=True) for s in (slice(x, y), slice(z, t))]
+        for turn, radius in enumerate([*radii, np.inf], 1):
+            cuts = zip(order, lows[q, turn].tolist(), lows[q, turn - 1].tolist(), highs[q, turn - 1].tolist(), highs[q, turn].tolist(), strict=True)
+            fresh = [piece for o, x, y, z, t in cuts for piece in (o[x:y], o[z:t])]
             counts += np.bincount(np.concatenate(fresh), minlength=n)
-            low, high = new_low, new_high
             passed = np.flatnonzero((counts >= need) & ~verified & own)
             if len(passed):
                 verified[passed] = True
