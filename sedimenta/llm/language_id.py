@@ -12,7 +12,6 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sedimenta.llm.hashing import slices
+from sedimenta.llm.hashing import mix, rolling, slices
 from sedimenta.llm.tokens import TokenTable
 
 #: First code points of script ranges and the scripts (Unicode blocks; "" is any other).
@@ -49,9 +48,18 @@ def script(letter: str) -> str:
     return SCRIPTS[bisect_right(_FIRSTS, ord(letter)) - 1][1]
 
 
-def grams(word: str, buckets: int) -> list[int]:
-    word = f"<{word}>"
-    return [crc32(word[i:i + n].encode()) % buckets for n in _GRAMS for i in range(len(word) - n + 1)]
+def grams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all letter n-grams of the words, with their ends marked, and each one's word."""
+    size = np.array([len(w) + 2 for w in words], dtype=np.int64)
+    chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    begin, values, at, owner = np.cumsum(size) - size, mix(chars.astype(np.uint64)), [], []
+    for n in _GRAMS:
+        count = np.maximum(size - n + 1, 0)
+        word = np.repeat(np.arange(len(words)), count)
+        inner = np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count)
+        at.append((rolling(values, n)[begin[word] + inner] % np.uint64(buckets)).astype(np.int64))
+        owner.append(word)
+    return np.concatenate(at), np.concatenate(owner)
 
 
 def learn(docs: DataFrame, train: Column, *, text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000,
@@ -75,11 +83,12 @@ def learn(docs: DataFrame, train: Column, *, text_col: str = "text", lang_col: s
             words: dict[str, Counter] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 words.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
-            for lang, seen in words.items():
-                table, used = np.zeros(buckets, dtype=np.int64), Counter()
-                for word, n in seen.items():
-                    np.add.at(table, grams(word, buckets), n)
-                    used[script(word[0])] += n
+            for lang, seen in ((k, v) for k, v in words.items() if v):
+                used, times = Counter(), np.array(list(seen.values()))
+                place, word = grams(list(seen), buckets)
+                table = np.bincount(place, weights=times[word], minlength=buckets).astype(np.int64)
+                for w, n in seen.items():
+                    used[script(w[0])] += n
                 at = np.flatnonzero(table)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * (len(at) + len(used))), pa.array([*at.tolist(), *[-1] * len(used)], pa.int64()),
@@ -97,17 +106,23 @@ def learn(docs: DataFrame, train: Column, *, text_col: str = "text", lang_col: s
     return Model(languages, np.log(counts / counts.sum(axis=0)), {s: n >= 0.001 * total for s, n in used.items()}, switch_penalty)
 
 
-def word_scores(token: str, model: Model) -> list[float]:
-    """Letters of a token, then its score for each language; a language without its script gets the least."""
-    parts = _LETTERS.findall(token)
-    out, letters = np.zeros(len(model.languages)), 0
-    for part in parts:
-        letters += len(part)
-        out += model.log_p[grams(part, len(model.log_p))].sum(axis=0) / len(_GRAMS)
-    if parts:
-        fits = model.scripts.get(script(parts[0][0]))
-        out = np.where(fits, out, out.min() - 5.0) if fits is not None else np.zeros_like(out)
-    return [letters, *out]
+def word_scores(tokens: list[str], model: Model) -> np.ndarray:
+    """Letters of each token, then its score for each language; a language without its script gets the least."""
+    found = [_LETTERS.findall(token) for token in tokens]
+    parts, owner = [w for f in found for w in f], np.repeat(np.arange(len(tokens)), [len(f) for f in found])
+    out = np.zeros((len(tokens), 1 + len(model.languages)))
+    if not parts:
+        return out
+    out[:, 0] = np.bincount(owner, weights=[len(w) for w in parts], minlength=len(tokens))
+    place, word = grams(parts, len(model.log_p))
+    for k in range(len(model.languages)):
+        out[:, 1 + k] = np.bincount(owner[word], weights=model.log_p[place, k], minlength=len(tokens)) / len(_GRAMS)
+    nothing = np.zeros(len(model.languages), dtype=bool)
+    fits = np.array([model.scripts.get(script(f[0][0]), nothing) if f else nothing for f in found]).reshape(len(tokens), -1)
+    known = fits.any(axis=1) if fits.shape[1] else np.zeros(len(tokens), dtype=bool)
+    scores = out[:, 1:]
+    out[:, 1:] = np.where(known[:, None], np.where(fits, scores, scores.min(axis=1, initial=0.0)[:, None] - 5.0), 0.0)
+    return out
 
 
 def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarray:
@@ -165,7 +180,7 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     rows = docs.select(*[F.col(f"`{c}`") for c in given])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, langs = TokenTable(lambda token: word_scores(token, model), 1 + len(model.languages)), model.languages
+        table, langs = TokenTable(lambda tokens: word_scores(tokens, model), 1 + len(model.languages)), model.languages
         for batch in slices(batches, text_col):
             tokens = [(t or "").lower().split() for t in batch.column(text_col).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)

@@ -93,9 +93,9 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     buckets = len(model.margin)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def of(token: str) -> tuple[float, float]:
-        at = features(token, buckets)
-        return float(model.margin[at].sum()), float(len(at))
+    def of(tokens: list[str]) -> np.ndarray:
+        places = [features(token, buckets) for token in tokens]
+        return np.array([(model.margin[at].sum(), len(at)) for at in places])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = TokenTable(of, 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 
@@ -13,7 +13,7 @@ CACHE_TOKENS = 400_000
 class TokenTable:
     """Rows of numbers per token. `rows` gives each token's place in `values`, computing new ones by ``of``."""
 
-    def __init__(self, of: Callable[[str], Sequence[float]], width: int) -> None:
+    def __init__(self, of: Callable[[list[str]], np.ndarray], width: int) -> None:
         self._of, self._width = of, width
         self._clear()
 
@@ -28,9 +28,10 @@ class TokenTable:
 
     def rows(self, tokens: list[str]) -> np.ndarray:
         place = self._place
-        for token in set(tokens).difference(place):
-            if len(place) == len(self.values):
+        if fresh := list(set(tokens).difference(place)):
+            n = len(place)
+            while n + len(fresh) > len(self.values):
                 self.values = np.concatenate([self.values, np.empty_like(self.values)])
-            self.values[len(place)] = self._of(token)
-            place[token] = len(place)
+            self.values[n:n + len(fresh)] = self._of(fresh)
+            place.update(zip(fresh, range(n, n + len(fresh)), strict=True))
         return np.fromiter(map(place.__getitem__, tokens), dtype=np.int64, count=len(tokens))
