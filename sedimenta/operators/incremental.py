@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,15 @@ def incremental_load(
     rows newer than it are read again; ``advance_over_rejects`` changes that. With ``until`` the
     interval is closed at that time and the watermark becomes ``until``. The watermark moves only
     after the rows are committed, and not at all when nothing was loaded.
+
+    A committed run is recorded before the watermark moves. Repeating it returns the recorded result and
+    changes no rows; if the run died in between, the repeat moves the watermark.
     """
+    if (done := control.recorded(pipeline_id, run_id)) is not None:
+        result = LoadResult(**done)
+        if control.watermark(pipeline_id) == result.previous_watermark != result.new_watermark:
+            control.advance(pipeline_id, run_id, result.new_watermark)
+        return result
     previous = control.watermark(pipeline_id)
     moment = F.col(watermark_column)
     delta = source.where(moment > F.lit(previous).cast("timestamp_ntz"))
@@ -56,8 +64,10 @@ def incremental_load(
         new = until if metrics["extracted"] else previous
     elif moved:
         new = metrics["newest"]
-    if new != previous:
-        control.advance(pipeline_id, run_id, new)
-    return LoadResult(
+    result = LoadResult(
         pipeline_id, run_id, metrics["extracted"], metrics["loaded"], metrics["rejected"], previous, new
     )
+    control.record(asdict(result))
+    if new != previous:
+        control.advance(pipeline_id, run_id, new)
+    return result

@@ -24,8 +24,17 @@ def replace_rows(target: DataFrame, batch: DataFrame, keys: list[str], seq: list
     return target.join(newest, keys, "left_anti").unionByName(newest)
 
 
-def insert_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the rows whose key is not stored yet; stored rows stay as they are."""
+def insert_absent(target: DataFrame, rows: DataFrame, keys: list[str], seq: list[str] | None = None) -> DataFrame:
+    """Add the rows whose key is not stored yet; stored rows stay as they are.
+
+    Of batch rows with one key the first by ``seq`` is added, by default the least row.
+    """
+    rest = [c for c in target.columns if c not in keys]
+    if rest:
+        first = F.min_by(F.struct(*rest), F.struct(*(seq or rest))).alias("_row")
+        rows = rows.groupBy(*keys).agg(first).select(*keys, "_row.*")
+    else:
+        rows = rows.select(*keys).distinct()
     return target.unionByName(rows.select(*target.columns).join(target, keys, "left_anti"))
 
 

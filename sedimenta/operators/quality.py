@@ -203,7 +203,8 @@ def pii_value_counts(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
 def schema_drift(payloads: DataFrame, key: str, payload: str, expected: dict[str, str]) -> DataFrame:
     """Unexpected fields, missing fields and values of the wrong type in JSON payloads.
 
-    Payloads are read as string maps, so unknown fields survive and one bad record spoils no other.
+    Payloads are read as string maps, so unknown fields survive and one bad record spoils no other. A payload
+    that is null or no JSON object lacks every field.
     """
     fields = F.from_json(payload, "map<string,string>")
     names = F.array(*[F.lit(n) for n in expected])
@@ -216,6 +217,6 @@ def schema_drift(payloads: DataFrame, key: str, payload: str, expected: dict[str
         key,
         payload,
         F.concat_ws(",", F.array_sort(F.array_except(F.map_keys("_m"), names))).alias("unexpected_fields"),
-        F.concat_ws(",", F.array_sort(F.array_except(names, F.map_keys("_m")))).alias("missing_fields"),
+        F.concat_ws(",", F.array_sort(F.array_except(names, F.coalesce(F.map_keys("_m"), F.array().cast("array<string>"))))).alias("missing_fields"),
         F.concat_ws(",", wrong).alias("mistyped_fields"),
     ).where((F.col("unexpected_fields") != "") | (F.col("missing_fields") != "") | (F.col("mistyped_fields") != ""))

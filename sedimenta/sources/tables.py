@@ -14,6 +14,10 @@ from sedimenta.session import path_exists
 
 _COMMIT_SCHEMA = "version bigint, run_id string, path string"
 _CONTROL_SCHEMA = "pipeline_id string, run_id string, seq bigint, last_watermark timestamp_ntz"
+_RUN_SCHEMA = (
+    "pipeline_id string, run_id string, extracted bigint, loaded bigint, rejected bigint, "
+    "previous_watermark string, new_watermark string"
+)
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -112,6 +116,7 @@ class WatermarkControl:
     def __init__(self, spark: SparkSession, root: str, default: str = "1900-01-01 00:00:00"):
         self.spark = spark
         self.path = f"{root}/_control"
+        self.runs = f"{root}/_runs"
         self.default = default
 
     def log(self) -> DataFrame:
@@ -138,3 +143,14 @@ class WatermarkControl:
             F.lit(watermark).cast("timestamp_ntz").alias("last_watermark"),
         )
         row.coalesce(1).write.mode("append").parquet(self.path)
+
+    def record(self, result: dict) -> None:
+        """Keep the control values of a committed run."""
+        values = [F.lit(v).alias(k) for k, v in result.items()]
+        self.spark.range(1).select(*values).coalesce(1).write.mode("append").parquet(self.runs)
+
+    def recorded(self, pipeline_id: str, run_id: str) -> dict | None:
+        """The control values of a committed run, or None."""
+        runs = _read_log(self.spark, self.runs, _RUN_SCHEMA)
+        row = runs.where((F.col("pipeline_id") == pipeline_id) & (F.col("run_id") == run_id)).first()
+        return None if row is None else row.asDict()
