@@ -11,7 +11,8 @@ suffix tree is a set of equal windows.
    size. In a group, suffixes are sorted by prefix doubling (1, 2, 4 … words, then the exact
    length): equal ranks at full depth are the leaves of one deep node, whose smallest document stays.
 3. A prefix held by too many documents is made longer, up to the whole window: then each window is a
-   group of its own, and a minimum combined before the shuffle finds its smallest document.
+   group of its own. A batch of snippets gives one row per distinct window, with its places; a minimum
+   finds each window's smallest document, and the covered places are put together batch by batch.
 
 Words are compared by 64-bit hashes, windows of long prefixes by 128 bits.
 """
@@ -113,6 +114,38 @@ def _subtree(length: int):
     return build
 
 
+def _leaves(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """The distinct windows of a batch of snippets: 128 bits of hash, least and largest id, and all places (ids, then starts)."""
+    found = []
+    for i, first, body in zip(batch.column("id").to_pylist(), batch.column("first").to_pylist(), batch.column("body"), strict=True):
+        body = np.frombuffer(body.as_buffer(), dtype=np.uint64)
+        x, y = rolling(body, length), rolling(mix(body ^ np.uint64(0x2545F4914F6CDD1D)), length)
+        found.append((x.view(np.int64), y.view(np.int64), np.full(len(x), i), np.arange(first, first + len(x))))
+    x, y, ids, starts = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((starts, ids, y, x))
+    x, y, ids, starts = x[order], y[order], ids[order], starts[order]
+    a = np.append(0, np.flatnonzero((x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1)
+    b = np.append(a[1:], len(x))
+    name = mix(mix(ids[:1].view(np.uint64)) ^ np.uint64(starts[0]) ^ x[:1].view(np.uint64)).view(np.int64)
+    places = [ids[i:j].tobytes() + starts[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x[a]), pa.array(y[a]), pa.array(ids[a]), pa.array(ids[b - 1]), pa.array(np.repeat(name, len(a))), pa.array(places, pa.binary())],
+        names=["x", "y", "least", "most", "batch", "places"])
+
+
+def _after_witness(length: int):
+    """The spans of a batch's windows in documents after the first that holds them; a batch is bounded, however hot its windows are."""
+
+    def build(table: pa.Table) -> pa.Table:
+        places = [np.frombuffer(p.as_buffer(), dtype=np.int64) for p in table.column("places")]
+        docs = np.concatenate([p[:len(p) // 2] for p in places])
+        starts = np.concatenate([p[len(p) // 2:] for p in places])
+        later = docs > np.repeat(np.asarray(table.column("witness")), [len(p) // 2 for p in places])
+        return pa.Table.from_batches([_spans(docs[later], starts[later], length)])
+
+    return build
+
+
 def covered_words(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
                   filter_bits: int = 1 << 24) -> DataFrame:
     """(id, spans): per document the word ranges [first, last) to remove, for documents that have any."""
@@ -165,17 +198,14 @@ def covered_words(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for i, first, body in zip(batch.column("id").to_pylist(), batch.column("first").to_pylist(), batch.column("body"), strict=True):
-                body = np.frombuffer(body.as_buffer(), dtype=np.uint64)
-                x, y = rolling(body, length), rolling(mix(body ^ np.uint64(0x2545F4914F6CDD1D)), length)
-                found.append((x.view(np.int64), y.view(np.int64), np.full(len(x), i), np.arange(first, first + len(x))))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["x", "y", "id", "first"])
-
-    leaves = snippets.where("part < 0").select("id", "first", "body").mapInArrow(whole, "x bigint, y bigint, id bigint, first bigint")
-    nodes = materialise(leaves.groupBy("x", "y").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most"), "nodes")
-    long = leaves.join(nodes, ["x", "y"]).where("id > least").select("id", "first", (F.col("first") + length).alias("last"))
+            if batch.num_rows:
+                yield _leaves(batch, length)
+
+    leaf = "x bigint, y bigint, least bigint, most bigint, batch bigint, places binary"
+    leaves = materialise(snippets.where("part < 0").select("id", "first", "body").mapInArrow(whole, leaf), "leaves")
+    nodes = leaves.groupBy("x", "y").agg(F.min("least").alias("witness"), F.max("most").alias("last")).where("witness < last").drop("last")
+    met = leaves.join(nodes, ["x", "y"]).where("most > witness").select("batch", "witness", "places")
+    long = met.groupBy("batch").applyInArrow(_after_witness(length), span)
     return trees.union(long).groupBy("id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
