@@ -36,6 +36,8 @@ _GRAM = 8
 #: Words of snippets that one group of suffixes holds on average, and documents at which a prefix is made longer.
 GROUP_WORDS = 1_500_000
 LONG_PREFIX = 500
+#: Equal snippets that meet in one place.
+BATCH_ROWS = 4000
 _PLACE_BITS = 22
 
 
@@ -202,7 +204,11 @@ def covered_words(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
                 yield _leaves(batch, length)
 
     leaf = "x bigint, y bigint, least bigint, most bigint, batch bigint, places binary"
-    leaves = materialise(snippets.where("part < 0").select("id", "first", "body").mapInArrow(whole, leaf), "leaves")
+    frequent = snippets.where("part < 0").select("id", "first", "body")
+    # Equal snippets meet, in as many places as the rows fill batches, so one that a third of them equal fills no task.
+    body, turns = F.xxhash64("body"), 1 + frequent.count() // BATCH_ROWS
+    frequent = frequent.repartition(body, F.pmod(F.xxhash64("id"), F.lit(turns))).sortWithinPartitions(body)
+    leaves = materialise(frequent.mapInArrow(whole, leaf), "leaves")
     nodes = leaves.groupBy("x", "y").agg(F.min("least").alias("witness"), F.max("most").alias("last")).where("witness < last").drop("last")
     met = leaves.join(nodes, ["x", "y"]).where("most > witness").select("batch", "witness", "places")
     long = met.groupBy("batch").applyInArrow(_after_witness(length), span)
