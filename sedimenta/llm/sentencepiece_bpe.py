@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
-Symbols start as characters. An agenda holds the adjacent pairs whose union is a piece, ordered by score and
+Symbols start as characters. An agenda holds the adjacent pairs whose union is a piece, by score and
 then from the left; the best is merged, its new neighbours join the agenda, and pairs that a merge has
 made stale are passed over. A character without a piece falls back to its bytes.
 
@@ -28,6 +28,8 @@ from sedimenta.llm.tokens import CACHE_TOKENS
 
 #: Fixed value: the mark that stands for a space.
 SPACE = "▁"
+#: Characters up to which the agenda of a segment is a plain list; the cost of a pair that is no piece.
+SHORT, NEVER = 32, float("inf")
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]*")
 
 
@@ -38,7 +40,7 @@ class Vocabulary:
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = range(sp.get_piece_size())
         self.ids = {sp.id_to_piece(i): i for i in size if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
-        self.scores = {piece: sp.get_score(i) for piece, i in self.ids.items()}
+        self.costs = {piece: -sp.get_score(i) for piece, i in self.ids.items()}
         self.bytes = {int(sp.id_to_piece(i)[3:5], 16): i for i in size if sp.is_byte(i)}
         self.unknown = sp.unk_id()
         sample = " a  bé①\t "
@@ -53,10 +55,28 @@ class Vocabulary:
 
     def encode_segment(self, text: str) -> list[int]:
         """Ids of a segment by the agenda of adjacent pairs."""
-        symbols, scores = list(text), self.scores
+        return self._ids(self._merge_short(text) if len(text) <= SHORT else self._merge_long(text))
+
+    def _merge_short(self, text: str) -> list[str]:
+        """Symbols of a short segment: the agenda is the list of all pairs' costs, searched for its least."""
+        symbols, costs = list(text), self.costs
+        agenda = [costs.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda and (best := min(agenda)) < NEVER:
+            i = agenda.index(best)
+            symbols[i] = pair = symbols[i] + symbols[i + 1]
+            del symbols[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = costs.get(pair + symbols[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = costs.get(symbols[i - 1] + pair, NEVER)
+        return symbols
+
+    def _merge_long(self, text: str) -> list[str]:
+        """Symbols of a segment of any length: the agenda is a heap."""
+        symbols, costs = list(text), self.costs
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = [(-scores[pair], i, pair) for i in range(n - 1) if (pair := symbols[i] + symbols[i + 1]) in scores]
+        agenda = [(costs[pair], i, pair) for i in range(n - 1) if (pair := symbols[i] + symbols[i + 1]) in costs]
         heapify(agenda)
         while agenda:
             _, i, pair = heappop(agenda)
@@ -69,22 +89,24 @@ class Vocabulary:
             if k < n:
                 before[k] = i
                 joined = pair + symbols[k]
-                if joined in scores:
-                    heappush(agenda, (-scores[joined], i, joined))
+                if joined in costs:
+                    heappush(agenda, (costs[joined], i, joined))
             h = before[i]
             if h >= 0:
                 joined = symbols[h] + pair
-                if joined in scores:
-                    heappush(agenda, (-scores[joined], h, joined))
-        out = []
+                if joined in costs:
+                    heappush(agenda, (costs[joined], h, joined))
+        return [symbol for symbol in symbols if symbol]
+
+    def _ids(self, symbols: list[str]) -> list[int]:
+        known, out = self.ids, []
         for symbol in symbols:
-            if symbol:
-                if symbol in self.ids:
-                    out.append(self.ids[symbol])
-                elif self.bytes:
-                    out.extend(self.bytes[b] for b in symbol.encode())
-                else:
-                    out.append(self.unknown)
+            if symbol in known:
+                out.append(known[symbol])
+            elif self.bytes:
+                out.extend(self.bytes[b] for b in symbol.encode())
+            else:
+                out.append(self.unknown)
         return out
 
     def cut(self, text: str) -> list[str]:
@@ -116,10 +138,11 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of whole texts; a repeated segment is encoded once."""
         cuts = [self.cut(t) if t else [] for t in texts]
+        wanted = set(chain.from_iterable(cuts))
+        if len(self.segments) > CACHE_TOKENS:  # those in use stay
+            self.segments = {s: ids for s in wanted if (ids := self.segments.get(s)) is not None}
         known = self.segments
-        if len(known) > CACHE_TOKENS:
-            known.clear()
-        fresh = list(set(chain.from_iterable(cuts)).difference(known))
+        fresh = list(wanted.difference(known))
         for segment in fresh:
             known[segment] = tuple(self.encode_segment(segment))
         self.check_segments(fresh)

@@ -193,6 +193,14 @@ def test_sentencepiece_equals_the_library(spark):
         assert r.ids == ids and r.n_tokens == len(ids) and r.decoded == library.decode(ids)
 
 
+def test_both_agendas_merge_alike():
+    tokenizers = pytest.importorskip("public_tokenizers")
+    words, rng = sentencepiece_bpe.vocabulary(tokenizers.path("piece_bpe_32k.model")), random.Random(8)
+    for _ in range(2000):
+        text = "▁" + "".join(rng.choices("abcdeinorstué日-.1", k=rng.randrange(40)))
+        assert words._merge_short(text) == words._merge_long(text)
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([ -]?[0-9])+", "phone": r"\+[0-9][ ().0-9-]+[0-9]"}
