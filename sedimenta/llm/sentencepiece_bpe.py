@@ -4,8 +4,9 @@ Symbols start as characters. An agenda holds the adjacent pairs whose union is a
 then from the left; the best is merged, its new neighbours join the agenda, and pairs that a merge has
 made stale are passed over. A character without a piece falls back to its bytes.
 
-No piece reaches over the start of a word or over a character that isn't in the vocabulary, so a text is cut there and
-each distinct segment is encoded once per task. The library checks every new segment, and one whole text of each
+No piece reaches over the start of a word, over a character that isn't in the vocabulary or between two characters that
+stand together in no piece, so a text is cut at words, lines and the punctuation that ends a word, and each distinct
+segment is encoded once per task. The library checks every new segment, and one whole text of each
 Arrow batch.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
@@ -24,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.hashing import slices
-from sedimenta.llm.tokens import CACHE_TOKENS
 
 #: Fixed value: the mark that stands for a space.
 SPACE = "▁"
+#: Segments a task remembers, some 250 bytes each; beyond that only those of the batch at hand stay.
+CACHE_SEGMENTS = 1_000_000
 #: Characters up to which the agenda of a segment is a plain list; the cost of a pair that is no piece.
 SHORT, NEVER = 32, float("inf")
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]*")
@@ -49,6 +52,7 @@ class Vocabulary:
         if any(sp.is_unused(i) for i in size):
             raise ValueError("models with unused pieces are not supported")
         known = {c for piece in self.ids for c in piece}
+        self.neighbours = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.by_word = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         self.by_line = "\n" not in known
         self.segments: dict[str, tuple[int, ...]] = {}
@@ -125,7 +129,14 @@ class Vocabulary:
                 first, *rest = line.split(SPACE)
                 if first:
                     out.append(first)
-                out.extend(SPACE + x for x in rest)
+                for word in rest:
+                    if word[-1] in string.punctuation:
+                        head = word.rstrip(string.punctuation)
+                        if head and head[-1] + word[len(head)] not in self.neighbours:
+                            out.append(SPACE + head)
+                            out.append(word[len(head):])
+                            continue
+                    out.append(SPACE + word)
         return out
 
     def check_segments(self, segments: list[str]) -> None:
@@ -139,7 +150,7 @@ class Vocabulary:
         """Ids of whole texts; a repeated segment is encoded once."""
         cuts = [self.cut(t) if t else [] for t in texts]
         wanted = set(chain.from_iterable(cuts))
-        if len(self.segments) > CACHE_TOKENS:  # those in use stay
+        if len(self.segments) > CACHE_SEGMENTS:  # those in use stay
             self.segments = {s: ids for s in wanted if (ids := self.segments.get(s)) is not None}
         known = self.segments
         fresh = list(wanted.difference(known))
