@@ -130,7 +130,7 @@ class Vocabulary:
                 if first:
                     out.append(first)
                 for word in rest:
-                    if word[-1] in string.punctuation:
+                    if word and word[-1] in string.punctuation:
                         head = word.rstrip(string.punctuation)
                         if head and head[-1] + word[len(head)] not in self.neighbours:
                             out.append(SPACE + head)
