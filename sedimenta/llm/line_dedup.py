@@ -25,6 +25,8 @@ from sedimenta.session import materialise
 SHINGLE, BANDS, ROWS = 12, 12, 4
 #: Shorter lines are left alone: they are equal by chance.
 MIN_CHARS = 24
+#: Characters that are hashed at once: their arrays stay in the processor's cache.
+BLOCK_CHARS = 64_000
 _FACTORS = np.random.default_rng(11).integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -47,6 +49,19 @@ def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return every[np.repeat(start, count) + inner], begin
 
 
+def _blocks(lines: list[str]) -> Iterator[list[str]]:
+    """Consecutive lines of BLOCK_CHARS characters or a line more."""
+    block, size = [], 0
+    for line in lines:
+        block.append(line)
+        size += len(line)
+        if size >= BLOCK_CHARS:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def band_keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """(lines x bands) keys: ROWS minima under different orders of the shingles make one."""
     low, keys = (hashes >> np.uint64(32)).astype(np.uint32), []
@@ -83,7 +98,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for turn, batch in enumerate(slices(batches)):
             ids, lines = distinct(batch)
             if lines:
-                keys = band_keys(*_shingles(lines))
+                keys = np.concatenate([band_keys(*_shingles(block)) for block in _blocks(lines)])
                 yield blob_batch(list(key_blobs(np.repeat(ids, BANDS), keys.reshape(-1), parts, turn + int(ids[0]))))
 
     def load(table: np.ndarray, sketch: bool = False) -> DataFrame:
@@ -93,8 +108,10 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 at = np.flatnonzero(bit_hits(table, ids.view(np.uint64))) if len(ids) else ids
                 if not len(at):
                     continue
-                hashes, begin = _shingles([lines[k] for k in at])
-                sets = [np.unique(s) for s in np.split(hashes, begin[1:])]
+                sets = []
+                for block in _blocks([lines[k] for k in at]):
+                    hashes, begin = _shingles(block)
+                    sets.extend(np.unique(s) for s in np.split(hashes, begin[1:]))
                 if sketch:
                     bits = [parity_sketch(s) for s in sets]
                     yield pa.RecordBatch.from_arrays(
