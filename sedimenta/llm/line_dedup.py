@@ -21,8 +21,11 @@ from sedimenta.llm.links import (
     GROUP_KEYS, KEY_BLOB, bit_hits, blob_batch, key_blobs, link_components, parity_sketch, shared_keys, short_sketch)
 from sedimenta.session import materialise
 
-#: Characters of a shingle; bands and rows: at a similarity of 0.75 a pair is missed once in 95, at 0.8 once in 560.
-SHINGLE, BANDS, ROWS = 12, 12, 4
+#: Bands and rows: at a similarity of 0.75 a pair is missed once in 95, at 0.8 once in 560, whatever the shingles.
+BANDS, ROWS = 12, 4
+#: Characters of a shingle by default, and of a short one. A changed character takes away as many shingles, so at 0.8
+#: lines that differ in one meet from 119 characters on by the first and from 49 on by the second.
+SHINGLE, SHORT_SHINGLE = 12, 5
 #: Shorter lines are left alone: they are equal by chance.
 MIN_CHARS = 24
 #: Characters that are hashed at once: their arrays stay in the processor's cache.
@@ -37,13 +40,13 @@ def _lines(texts: list[str | None], min_chars: int) -> tuple[np.ndarray, list[tu
     return np.array(ids, dtype=np.int64), found
 
 
-def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _shingles(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all character shingles of the lines, in order, and where each line's begin."""
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    every = rolling(mix(chars.astype(np.uint64)), SHINGLE)
+    every = rolling(mix(chars.astype(np.uint64)), shingle)
     size = np.array([len(s) for s in lines])
     start = np.cumsum(size) - size
-    count = size - SHINGLE + 1
+    count = size - shingle + 1
     begin = np.cumsum(count) - count
     inner = np.arange(count.sum()) - np.repeat(begin, count)
     return every[np.repeat(start, count) + inner], begin
@@ -74,10 +77,10 @@ def band_keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
-                   min_chars: int = MIN_CHARS, filter_bits: int = 1 << 24) -> DataFrame:
+                   min_chars: int = MIN_CHARS, shingle: int = SHINGLE, filter_bits: int = 1 << 24) -> DataFrame:
     """(id, gone): the numbers of each document's lines that repeat, fuzzily, an earlier line."""
-    if min_chars < SHINGLE:
-        raise ValueError(f"lines need {SHINGLE} characters at least")
+    if min_chars < shingle:
+        raise ValueError(f"lines need {shingle} characters at least")
     named = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     size = named.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = 1 + int(size / 25) // GROUP_KEYS  # a key for every 25 characters or so
@@ -98,7 +101,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for turn, batch in enumerate(slices(batches)):
             ids, lines = distinct(batch)
             if lines:
-                keys = np.concatenate([band_keys(*_shingles(block)) for block in _blocks(lines)])
+                keys = np.concatenate([band_keys(*_shingles(block, shingle)) for block in _blocks(lines)])
                 yield blob_batch(list(key_blobs(np.repeat(ids, BANDS), keys.reshape(-1), parts, turn + int(ids[0]))))
 
     def load(table: np.ndarray, sketch: bool = False) -> DataFrame:
@@ -110,7 +113,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     continue
                 sets = []
                 for block in _blocks([lines[k] for k in at]):
-                    hashes, begin = _shingles(block)
+                    hashes, begin = _shingles(block, shingle)
                     sets.extend(np.unique(s) for s in np.split(hashes, begin[1:]))
                 if sketch:
                     bits = [parity_sketch(s) for s in sets]
@@ -134,7 +137,8 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return gone.groupBy("id").agg(F.sort_array(F.collect_set("k")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, min_chars: int = MIN_CHARS,
+                shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text, and n_lines and n_removed.
 
     Lines are split at newlines and compared without blanks at their ends; lines under ``min_chars`` characters stay.
@@ -142,7 +146,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     witnesses; rows that repeat an id are treated as one document and lose the same lines. Columns named
     n_lines or n_removed are replaced, all others are kept; an empty table gives an empty result.
     """
-    gone = repeated_lines(docs, id_col=id_col, text_col=text_col, percent=percent, min_chars=min_chars)
+    gone = repeated_lines(docs, id_col=id_col, text_col=text_col, percent=percent, min_chars=min_chars, shingle=shingle)
     marks = materialise(gone.select(F.col("id").alias("_line_owner"), F.col("gone").alias("_lines_gone")), "gone")
     rows = docs.drop("n_lines", "n_removed").join(marks, F.col(id_col).cast("bigint") == F.col("_line_owner"), "left")
     lines = F.split(F.col(text_col), "\n", -1)

@@ -63,7 +63,7 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=line_dedup.SHORT_SHINGLE)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
