@@ -2,7 +2,7 @@
 
 A word's script (Unicode ranges) narrows the candidate languages to those that use it; each candidate scores the
 word by its letter n-grams. Viterbi with a penalty for every switch then labels all words, so a text falls into spans
-of one language. The prediction is the language of most letters, the score its share of them.
+of one language. The prediction is the language of most letters, the score its share of all letters of the text.
 """
 
 from __future__ import annotations
@@ -107,21 +107,27 @@ def learn(docs: DataFrame, train: Column, *, text_col: str = "text", lang_col: s
 
 
 def word_scores(tokens: list[str], model: Model) -> np.ndarray:
-    """Letters of each token, then its score for each language; a language without its script gets the least."""
+    """Letters of each token, those of them in a script some language uses, then its score for each language.
+
+    A language without the token's script gets the least; a token in a script no language uses says nothing of any.
+    """
     found = [_LETTERS.findall(token) for token in tokens]
     parts, owner = [w for f in found for w in f], np.repeat(np.arange(len(tokens)), [len(f) for f in found])
-    out = np.zeros((len(tokens), 1 + len(model.languages)))
+    out = np.zeros((len(tokens), 2 + len(model.languages)))
     if not parts:
         return out
     out[:, 0] = np.bincount(owner, weights=[len(w) for w in parts], minlength=len(tokens))
     place, word = grams(parts, len(model.log_p))
     for k in range(len(model.languages)):
-        out[:, 1 + k] = np.bincount(owner[word], weights=model.log_p[place, k], minlength=len(tokens)) / len(_GRAMS)
+        out[:, 2 + k] = np.bincount(owner[word], weights=model.log_p[place, k], minlength=len(tokens)) / len(_GRAMS)
     nothing = np.zeros(len(model.languages), dtype=bool)
     fits = np.array([model.scripts.get(script(f[0][0]), nothing) if f else nothing for f in found]).reshape(len(tokens), -1)
     known = fits.any(axis=1) if fits.shape[1] else np.zeros(len(tokens), dtype=bool)
-    scores = out[:, 1:]
-    out[:, 1:] = np.where(known[:, None], np.where(fits, scores, scores.min(axis=1, initial=0.0)[:, None] - 5.0), 0.0)
+    used = {s for s, languages in model.scripts.items() if languages.any()}
+    own = [len(w) if w.isascii() and "latin" in used else sum(script(c) in used for c in w) for w in parts]
+    out[:, 1] = np.where(known, np.bincount(owner, weights=own, minlength=len(tokens)), 0.0)
+    scores = out[:, 2:]
+    out[:, 2:] = np.where(known[:, None], np.where(fits, scores, scores.min(axis=1, initial=0.0)[:, None] - 5.0), 0.0)
     return out
 
 
@@ -174,25 +180,26 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     """``docs`` with lang_pred, lang_score, n_letters and spans ("lang:first:last" by word, comma-joined).
 
     A null text, one without a letter, or any text under a model without languages is ``und`` with score 0.
+    Letters in a script that no language uses count in the whole and in no share: a text of them alone has score 0.
     Ties go to the language that sorts first. Existing columns of these names are replaced.
     """
     given = [f.name for f in docs.schema if f.name.lower() not in ("lang_pred", "lang_score", "n_letters", "spans")]
     rows = docs.select(*[F.col(f"`{c}`") for c in given])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, langs = TokenTable(lambda tokens: word_scores(tokens, model), 1 + len(model.languages)), model.languages
+        table, langs = TokenTable(lambda tokens: word_scores(tokens, model), 2 + len(model.languages)), model.languages
         for batch in slices(batches, text_col):
             tokens = [(t or "").lower().split() for t in batch.column(text_col).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
             table.fresh()
             places = table.rows([w for t in tokens for w in t])
             values = table.values[places]
-            letters = values[:, 0]
-            labels = viterbi(values[:, 1:], offsets, model.switch_penalty) if langs else np.zeros(len(values), dtype=np.int64)
+            letters, own = values[:, 0], values[:, 1]
+            labels = viterbi(values[:, 2:], offsets, model.switch_penalty) if langs else np.zeros(len(values), dtype=np.int64)
             names, scores, counts, spans = [], [], [], []
             for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                share = np.bincount(labels[a:b], weights=letters[a:b], minlength=max(1, len(langs)))
-                total = float(share.sum())
+                share = np.bincount(labels[a:b], weights=own[a:b], minlength=max(1, len(langs)))
+                total = float(letters[a:b].sum())
                 known = total > 0 and langs
                 names.append(langs[int(share.argmax())] if known else UNKNOWN)
                 scores.append(float(share.max()) / total if known else 0.0)
