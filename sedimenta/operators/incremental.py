@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,25 +39,25 @@ def incremental_load(
 
     Without ``until`` the watermark becomes the greatest time among the *valid* rows, so rejected
     rows newer than it are read again; ``advance_over_rejects`` changes that. With ``until`` the
-    interval is closed at that time and the watermark becomes ``until``. The watermark moves only
-    after the rows are committed, and not at all when nothing was loaded.
+    interval is closed at that time and the watermark becomes ``until``. It does not move when nothing was loaded.
 
-    A committed run is recorded before the watermark moves. Repeating it returns the recorded result and
-    changes no rows; if the run died in between, the repeat moves the watermark.
+    The rows are written first, then the run is recorded with its watermark in one commit, then the rows become
+    visible. Repeating a recorded run returns the recorded result and changes no rows; if the run died in
+    between, the repeat makes them visible. Of two runs that load the same interval at once the second is
+    refused by ``ConcurrentCommit``, and its rows stay unseen.
     """
     if (done := control.recorded(pipeline_id, run_id)) is not None:
-        result = LoadResult(**done)
-        if control.watermark(pipeline_id) == result.previous_watermark != result.new_watermark:
-            control.advance(pipeline_id, run_id, result.new_watermark)
-        return result
-    previous = control.watermark(pipeline_id)
+        if done["landed"]:
+            target.commit(done["landed"])
+        return LoadResult(**{f.name: done[f.name] for f in fields(LoadResult)})
+    position, previous = control.position(pipeline_id)
     moment = F.col(watermark_column)
     delta = source.where(moment > F.lit(previous).cast("timestamp_ntz"))
     if until is not None:
         delta = delta.where(moment <= F.lit(until).cast("timestamp_ntz"))
     routed = delta.withColumn("reason_code", reason)
     counted = moment if advance_over_rejects else F.when(F.col("reason_code").isNull(), moment)
-    metrics = target.write_run(routed, run_id, F.max(counted).cast("string").alias("newest"))
+    metrics, landed = target.stage(routed, run_id, F.max(counted).cast("string").alias("newest"))
     moved = metrics["extracted"] if advance_over_rejects else metrics["loaded"]
     new = previous
     if until is not None:
@@ -67,7 +67,6 @@ def incremental_load(
     result = LoadResult(
         pipeline_id, run_id, metrics["extracted"], metrics["loaded"], metrics["rejected"], previous, new
     )
-    control.record(asdict(result))
-    if new != previous:
-        control.advance(pipeline_id, run_id, new)
+    control.record(asdict(result) | {"landed": landed}, after=position)
+    target.commit(landed)
     return result

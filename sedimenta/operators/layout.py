@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.merge import upsert
-from sedimenta.session import materialise
+from sedimenta.sources.tables import PartitionedTable
 
 
 def write_by_month(df: DataFrame, ts: str, path: str) -> None:
@@ -83,33 +83,40 @@ def plan_profile(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def upsert_partitions(
-    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], update: list[str], seq: list[str], partition: str
-) -> DataFrame:
-    """Upsert that reads and rewrites only the partitions the batch touches.
-
-    A key must never change its partition, as with orders stored by order date. The partition
-    values brought to the driver are at most as many as the table has directories.
-    """
-    touched = [r[0] for r in batch.select(partition).distinct().collect()]
-    current = spark.read.parquet(path).where(F.col(partition).isin(touched))
-    return refresh_groups(spark, path, upsert(current, batch, keys, update, seq), partition)
+class MovedKeys(ValueError):
+    """Batch rows whose key is stored in another partition."""
 
 
-def refresh_groups(
-    spark: SparkSession, path: str, recomputed: DataFrame, partition: str
+def upsert_partitions(
+    table: PartitionedTable, batch: DataFrame, keys: list[str], update: list[str], seq: list[str], run_id: str,
+    keys_move: bool = True,
 ) -> DataFrame:
-    """Replace only the partitions present in ``recomputed`` and return the refreshed table.
+    """Upsert that reads and rewrites only the partitions the batch touches; the table as of its commit.
 
-    The rows are staged first, so the job never overwrites files it still reads, and a repeated
-    refresh writes the same partitions again.
+    A key that is stored in another partition than the batch says would be stored twice, so it raises
+    ``MovedKeys``. To find it the key columns of all other partitions are read; with ``keys_move=False`` the caller
+    states that a key keeps its partition, as with orders stored by their date, and they are not. The
+    partition values brought to the driver are at most as many as the table has directories.
     """
-    staged = materialise(recomputed, "refresh")
-    (
-        staged.hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    return spark.read.parquet(path)
+    version = table.version()
+    touched = [r[0] for r in batch.select(F.col(table.partition).cast("string")).distinct().collect()]
+    current = table.read(version, only=touched) if version else batch.limit(0)
+    partition = table.partition
+    if keys_move and version:
+        homes = batch.select(*keys, F.col(partition).cast("string").alias("_to")).distinct()
+        stored = table.read(version).select(*keys, F.col(partition).cast("string").alias("_at"))
+        moved = homes.join(stored, keys).where(~F.col("_at").eqNullSafe(F.col("_to")))
+        found = moved.select(*keys).limit(5).collect()
+        if found:
+            raise MovedKeys(f"keys are stored in other partitions: {[tuple(r) for r in found]}")
+    done = table.replace(upsert(current, batch, keys, update, seq), run_id, touched=touched, based_on=version)
+    return table.read(done)
+
+
+def refresh_groups(table: PartitionedTable, recomputed: DataFrame, run_id: str, touched: list | None = None) -> DataFrame:
+    """Replace the partitions of ``recomputed`` by one commit and return the refreshed table.
+
+    Nothing is overwritten: a reader of the version before keeps its files. A partition in ``touched`` for which nothing was
+    recomputed is dropped. A repeated refresh changes nothing.
+    """
+    return table.read(table.replace(recomputed, run_id, touched=touched))
