@@ -43,9 +43,9 @@ def landed_csv(spark: SparkSession, df: DataFrame) -> DataFrame:
     return readers.csv_table(spark, path, df.schema)
 
 
-def landed_ndjson(spark: SparkSession, df: DataFrame, files: int | None = None) -> str:
+def landed_ndjson(spark: SparkSession, df: DataFrame) -> str:
     path = scratch_path(spark, "ndjson")
-    (df.repartition(files, *df.columns) if files else df).write.json(path)
+    df.write.json(path)
     return path
 
 

@@ -19,8 +19,6 @@ from sedimenta.session import path_exists
 from sedimenta.sources.commits import MOST_TRIES, CommitLog, ConcurrentCommit
 
 _COMMIT_SCHEMA = "number bigint, run_id string, path string"
-#: Fixed value: the directory name of the null partition.
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _CONTROL_SCHEMA = "pipeline_id string, run_id string, seq bigint, last_watermark timestamp_ntz"
 _RUN_SCHEMA = (
     "number bigint, pipeline_id string, run_id string, extracted bigint, loaded bigint, rejected bigint, "
@@ -152,23 +150,26 @@ class PartitionedTable:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def replace(
-        self, df: DataFrame, run_id: str, touched: list | None = None, based_on: int | None = None
+        self, df: DataFrame, run_id: str, touched: list | None = None, based_on: int | None = None, splits: bool = False
     ) -> int:
         """Replace the partitions in ``touched``, by default those that ``df`` has rows of.
 
-        A touched partition without rows is dropped. With ``based_on`` the commit is refused when a touched
+        A touched partition without rows is dropped. Rows of other partitions are refused, unless the writer
+        ``splits`` the touched ones into new ones. With ``based_on`` the commit is refused when a touched
         partition was replaced after that version. Repeating a committed run is a no-op.
         """
         done = self.log.find("number bigint, run_id string", run_id=run_id)
         if done is not None:
             return done["number"]
         base = f"{self.root}/data-{uuid.uuid4().hex}"
-        # The directory column is a copy, so the files keep all columns and need no path to be read.
-        copied = df.withColumn("_p", F.col(self.partition).cast("string")).hint("rebalance", F.col("_p"))
+        # The directory column is a copy, so the files keep all columns and need no path to be read. Its first
+        # letter tells null from empty text, which share a directory otherwise.
+        named = F.coalesce(F.concat(F.lit("v"), F.col(self.partition).cast("string")), F.lit("n"))
+        copied = df.withColumn("_p", named).hint("rebalance", F.col("_p"))
         copied.write.partitionBy("_p").parquet(base)
         written = self._written(base, df.schema)
         gone = [v for v in map(_text, touched or []) if v not in written]
-        if touched is not None and set(written) - {_text(v) for v in touched}:
+        if touched is not None and not splits and set(written) - {_text(v) for v in touched}:
             raise ValueError("rows of partitions that are not in touched")
         changed, seen = {*written, *gone}, self.version() if based_on is None else based_on
         for _ in range(MOST_TRIES):
@@ -196,7 +197,7 @@ class PartitionedTable:
         found = {}
         for r in counted:
             name = unquote(unquote(r["path"]).rsplit("/_p=", 1)[1])
-            value = None if name == _NULL_PARTITION else name
+            value = name[1:] if name[0] == "v" else None
             found[value] = {"value": value, "path": unquote(r["path"]), "rows": r["rows"]}
         return found
 

@@ -8,6 +8,7 @@ the collected batches into a new base version.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,16 +18,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sedimenta.operators.merge import latest_per_key
 from sedimenta.session import path_exists
+from sedimenta.sources.commits import CommitLog
 from sedimenta.sources.tables import LandingTable, VersionedTable
 
 
 def ndjson_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None, **options
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None, max_bytes: str | None = None, **options
 ) -> DataFrame:
-    """Newline JSON files as a stream; ``max_files`` bounds a micro-batch."""
+    """Newline JSON files as a stream; ``max_files`` or ``max_bytes`` (such as ``"1g"``) bounds a micro-batch."""
     reader = spark.readStream.schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.json(path)
 
 
@@ -50,6 +54,24 @@ def run_available(stream: DataFrame, handle: Handler, checkpoint: str, mode: str
 
     The checkpoint keeps the progress, so the next call continues where this one ended.
     """
+    counted, rows = _counted(handle)
+    _writer(stream, counted, checkpoint, mode).trigger(availableNow=True).start().awaitTermination()
+    return rows
+
+
+def run_batches(stream: DataFrame, handle: Handler, checkpoint: str, mode: str = "append") -> dict[int, int]:
+    """As ``run_available``, for sources that bound a micro-batch themselves and would else be read in one."""
+    counted, rows = _counted(handle)
+    query = _writer(stream, counted, checkpoint, mode).trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return rows
+
+
+def _counted(handle: Handler) -> tuple[Handler, dict[int, int]]:
+    """The handler, which must read its batch, and the rows of each batch it has handled."""
     rows: dict[int, int] = {}
 
     def counted(batch: DataFrame, batch_id: int) -> None:
@@ -57,9 +79,7 @@ def run_available(stream: DataFrame, handle: Handler, checkpoint: str, mode: str
         handle(batch.observe(observation, F.count(F.lit(1)).alias("rows")), batch_id)
         rows[batch_id] = observation.get["rows"]
 
-    query = _writer(stream, counted, checkpoint, mode).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return rows
+    return counted, rows
 
 
 def run_every(stream: DataFrame, handle: Handler, checkpoint: str, interval: str, mode: str = "append") -> StreamingQuery:
@@ -123,6 +143,35 @@ class RoutedLog:
         self.table.write_run(batch.withColumn("reason_code", self.reason), f"batch-{batch_id}")
 
 
+class LateRows:
+    """Rows behind the watermark go to dead letters, all others are kept; both are counted per micro-batch.
+
+    The watermark of a batch is the greatest event time of the batches before it, less ``delay``. It is committed with
+    the counts of every batch, so a replayed batch is cut at the same time. Rows without event time are dead letters too.
+    """
+
+    LATE, UNTIMED = "LATE_EVENT", "MISSING_EVENT_TIME"
+
+    def __init__(self, spark: SparkSession, root: str, ts: str, delay: datetime.timedelta):
+        self.table = LandingTable(spark, root)
+        self.log = CommitLog(spark, f"{root}/_watermarks")
+        self.ts = ts
+        self.delay = delay // datetime.timedelta(microseconds=1)
+
+    def append(self, batch: DataFrame, batch_id: int) -> None:
+        before = self.log.get(batch_id)["newest"] if batch_id else None
+        at = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        reason = F.when(at.isNull(), self.UNTIMED)
+        if before is not None:
+            reason = reason.when(at < before - self.delay, self.LATE)
+        counts = self.table.write_run(batch.withColumn("reason_code", reason), f"batch-{batch_id}", F.max(at).alias("newest"))
+        newest = max((t for t in (before, counts["newest"]) if t is not None), default=None)
+        self.log.put(batch_id + 1, {"batch_id": batch_id, "kept": counts["loaded"], "late": counts["rejected"], "newest": newest})
+
+    def counts(self) -> DataFrame:
+        return self.log.frame("batch_id bigint, kept bigint, late bigint")
+
+
 class BatchFiles:
     """Plain per-batch append, for stateful outputs."""
 

@@ -93,13 +93,13 @@ def table_of(spark, rows):
 
 
 def test_a_reader_keeps_its_version(spark, rows):
-    table = table_of(spark, [(1, "a", 1), (2, "a/b =%", 2), (3, None, 3)])
+    table = table_of(spark, [(1, "a", 1), (2, "a/b =%", 2), (3, None, 3), (4, "", 4)])
     reader, files = table.read(), set(table.read().inputFiles())
     layout.refresh_groups(table, parts(spark, [(9, "a/b =%", 9)]), "refresh")
-    assert rows(reader) == sorted([(1, "a", 1), (2, "a/b =%", 2), (3, None, 3)], key=repr)
-    assert rows(table.read()) == sorted([(1, "a", 1), (9, "a/b =%", 9), (3, None, 3)], key=repr)
-    assert len(set(table.read().inputFiles()) & files) == 2  # untouched partitions keep their files
-    assert rows(table.read(only=[None, "none"])) == [(3, None, 3)]
+    assert rows(reader) == sorted([(1, "a", 1), (2, "a/b =%", 2), (3, None, 3), (4, "", 4)], key=repr)
+    assert rows(table.read()) == sorted([(1, "a", 1), (9, "a/b =%", 9), (3, None, 3), (4, "", 4)], key=repr)
+    assert len(set(table.read().inputFiles()) & files) == 3  # untouched partitions keep their files
+    assert rows(table.read(only=[None, "none"])) == [(3, None, 3)] and rows(table.read(only=[""])) == [(4, "", 4)]
     assert rows(table.read(version=1)) == rows(reader)
 
 
