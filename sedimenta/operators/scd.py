@@ -76,6 +76,45 @@ def rebuild_history(log: DataFrame, key: str, effective: str, tiebreak: list[str
     return versions.withColumn("is_current", F.when(F.col("expiry_date").isNull(), 1).otherwise(0))
 
 
+def insert_versions(
+    dim: DataFrame, late: DataFrame, key: str, attributes: list[str], surrogate: str, seq: list[str], buckets: int | None = None
+) -> DataFrame:
+    """Type 2: versions that become known after later ones.
+
+    ``late`` holds the key, ``effective_date``, the attributes and the surrogate key of the new version; of several rows with one key and
+    date the last by ``seq`` counts. The version that covers the date ends there, the new one lasts until the next begins (or
+    until the covering one ended), and the versions of the key are numbered anew. A stored version that begins on the same day
+    keeps its surrogate key and interval and takes the new attributes. Other keys pass untouched, so only the histories of late
+    keys are put in order. ``dim`` should be a table; it is read several times.
+    """
+    staged = latest_per_key(late.select(key, "effective_date", *attributes, surrogate, *[s for s in seq if s not in late.columns]),
+                            [key, "effective_date"], seq)
+    touched = dim.join(staged.select(key).distinct(), key, "left_semi")
+    new = staged.select(key, "effective_date", F.struct(*attributes).alias("_new"), F.col(surrogate).alias("_sk"), F.lit(True).alias("_late"))
+    both = touched.join(new, [key, "effective_date"], "full_outer")
+    rest = [c for c in dim.columns if c not in (key, "effective_date", "expiry_date", "is_current", "version")]
+    inserted = F.col("version").isNull()
+
+    def value(c: str) -> Column:
+        if c == surrogate:
+            return F.when(inserted, F.col("_sk")).otherwise(F.col(c)).alias(c)
+        return F.when(F.col("_late"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in attributes else F.col(c)
+
+    # The end of a stored version, also where it is open; of a new one, that of the stored version before it.
+    stored_end = F.when(~inserted, F.struct(F.col("expiry_date").alias("at")))
+    merged = materialise(both.select(key, "effective_date", *[value(c) for c in rest], stored_end.alias("_end"), inserted.alias("_inserted")), "versions")
+    placed = ordered.ordered_window(
+        merged,
+        {"version": ordered.row_number(), "_next": ordered.lead("effective_date"), "_covering": ordered.carry_forward("_end")},
+        partition_by=[key], order_by=[("effective_date", "asc")], tiebreak=[], buckets=buckets)
+    end = F.col("_covering.at")
+    own = F.when(~F.col("_inserted") | (end > F.col("effective_date")), end)
+    again = placed.withColumn("expiry_date", F.least(F.col("_next"), own)).withColumn(
+        "is_current", F.when(F.col("expiry_date").isNull(), 1).otherwise(0))
+    names = [F.col(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns]
+    return dim.join(staged.select(key).distinct(), key, "left_anti").select(*dim.columns).unionByName(again.select(*names))
+
+
 def shift_previous(dim: DataFrame, changes: DataFrame, key: str, column: str, previous: str, seq: list[str]) -> DataFrame:
     """Type 3: on a change the old value moves to ``previous``; equal values change nothing."""
     newest = latest_per_key(changes, [key], seq).select(key, F.struct(column).alias("_new"))

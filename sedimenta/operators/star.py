@@ -9,6 +9,8 @@ from sedimenta.functions.dates import date_key
 from sedimenta.functions.keys import UNKNOWN_KEY, or_unknown
 from sedimenta.functions.money import sum_exact
 from sedimenta.operators.merge import insert_absent
+from sedimenta.operators.scd import as_of_lookup
+from sedimenta.session import materialise
 
 # The unknown member of each dimension.
 UNKNOWN_CUSTOMER = {
@@ -133,6 +135,26 @@ def repoint_late(facts: DataFrame, orders: DataFrame, customers: DataFrame) -> D
     return known.unionByName(repointed.select(*facts.columns))
 
 
+def repoint_back_dated(
+    facts: DataFrame, before: DataFrame, after: DataFrame, key: str, surrogate: str, fact_date: str, tiebreak: list[str]
+) -> DataFrame:
+    """Facts that point at a version which ends earlier ``after`` than ``before`` get the version that now covers their date.
+
+    Only facts of shortened versions, from the new end on, are looked up again; all others keep their key. ``facts`` should be a
+    table; it is read twice. A date that no version covers gets the unknown member; facts that are there already are left to
+    ``repoint_late``.
+    """
+    old, new = F.col("_old"), F.col("expiry_date")
+    shortened = after.select(key, surrogate, "expiry_date").join(before.select(surrogate, F.col("expiry_date").alias("_old")), surrogate)
+    shortened = shortened.where(new.isNotNull() & (old.isNull() | (new < old))).select(surrogate, F.col(key).alias("_key"), new.alias("_until"))
+    pointed = facts.join(shortened, surrogate, "left")
+    moves = F.coalesce(F.col(fact_date).cast("date") >= F.col("_until"), F.lit(False))
+    inside = materialise(pointed.where(moves).drop(surrogate, "_until"), "inside")
+    versions = after.join(shortened.select(F.col("_key").alias(key)).distinct(), key, "left_semi").withColumnRenamed(key, "_key")
+    found = as_of_lookup(inside, versions, "_key", fact_date, [surrogate], tiebreak).withColumn(surrogate, or_unknown(surrogate))
+    return pointed.where(~moves).select(*facts.columns).unionByName(found.select(*facts.columns))
+
+
 def daily_snapshot(order_facts: DataFrame) -> DataFrame:
     """Periodic snapshot: one row per store and day with sales."""
     return order_facts.groupBy("date_key", "store_sk").agg(

@@ -47,16 +47,15 @@ def _(spark, sf):
 
 
 def moves(spark, sf):
-    """Staged changes: the destination of each customer's urgent orders, several rows per customer."""
-    urgent = entities.order_headers(spark, sf).where(F.col("priority") == "1-URGENT")
-    return urgent.select(
+    """Staged changes: the destination of each customer's orders, several rows per customer."""
+    return entities.order_headers(spark, sf).select(
         "customer_id", "order_id", "created_at",
         F.concat(F.lit("CITY_"), (F.col("order_id") % 25).cast("string")).alias("city"),
     )
 
 
 _LATEST = """latest AS (SELECT customer_id, arg_max('CITY_' || CAST(order_id % 25 AS VARCHAR), (created_at, order_id)) AS city
-  FROM headers WHERE priority = '1-URGENT' GROUP BY customer_id)"""
+  FROM headers GROUP BY customer_id)"""
 
 
 @query("I3_scd1_overwrite", expect(", " + _LATEST + """
@@ -70,37 +69,29 @@ def _(spark, sf):
 
 def _merged(spark, sf, detect: bool):
     dim = scd.rebuild_history(warehouse.change_log(spark, sf), "customer_id", "effective_date", ["change_id"])
-    dim = dim.where(F.col("version") <= 2).select(
-        "customer_id", "city", "effective_date",
-        F.when(F.col("version") == 1, F.col("expiry_date")).alias("expiry_date"),
-        F.when((F.col("version") == 1) & F.col("expiry_date").isNotNull(), 0).otherwise(1).alias("is_current"),
-        "version",
-    )
+    dim = dim.select("customer_id", "city", "effective_date", "expiry_date", "is_current", "version")
     return scd.merge_history(
         materialise(dim, "dim"), moves(spark, sf), "customer_id", ["city"], AS_OF, ["created_at", "order_id"], detect_changes=detect
     )
 
 
-_TWO = """two AS (SELECT customer_id, city, effective_date, CASE WHEN version = 1 THEN expiry_date END AS expiry_date,
-  CASE WHEN version = 1 AND expiry_date IS NOT NULL THEN 0 ELSE 1 END AS is_current, version FROM history WHERE version <= 2)"""
-
 _MERGED = """
 SELECT t.customer_id, t.city, t.effective_date,
        CASE WHEN s.customer_id IS NOT NULL AND t.is_current = 1 THEN DATE '2024-06-01' ELSE t.expiry_date END AS expiry_date,
        CASE WHEN s.customer_id IS NOT NULL AND t.is_current = 1 THEN 0 ELSE t.is_current END AS is_current, t.version
-FROM two t LEFT JOIN staged s ON t.customer_id = s.customer_id
+FROM history t LEFT JOIN staged s ON t.customer_id = s.customer_id
 UNION ALL
 SELECT s.customer_id, s.city, DATE '2024-06-01', NULL, 1,
-       coalesce((SELECT max(t.version) FROM two t WHERE t.customer_id = s.customer_id), 0) + 1 FROM staged s"""
+       coalesce((SELECT max(t.version) FROM history t WHERE t.customer_id = s.customer_id), 0) + 1 FROM staged s"""
 
 
-@query("I4_scd2_merge", expect(", " + _LATEST + ", " + _TWO + ", staged AS (SELECT * FROM latest)" + _MERGED, "headers", "history"))
+@query("I4_scd2_merge", expect(", " + _LATEST + ", staged AS (SELECT * FROM latest)" + _MERGED, "headers", "history"))
 def _(spark, sf):
     return _merged(spark, sf, detect=False)
 
 
-@query("I4_scd2_merge_detecting_changes", expect(", " + _LATEST + ", " + _TWO + """, staged AS (
-  SELECT l.* FROM latest l WHERE NOT EXISTS (SELECT 1 FROM two t WHERE t.customer_id = l.customer_id AND t.is_current = 1
+@query("I4_scd2_merge_detecting_changes", expect(", " + _LATEST + """, staged AS (
+  SELECT l.* FROM latest l WHERE NOT EXISTS (SELECT 1 FROM history t WHERE t.customer_id = l.customer_id AND t.is_current = 1
     AND t.city = l.city))""" + _MERGED, "headers", "history"))
 def _(spark, sf):
     return _merged(spark, sf, detect=True)

@@ -96,7 +96,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT customer_id, DATE '1900-01-01' AS effective_date, city, CAST(-1 AS BIGINT) AS change_id FROM customers
         UNION ALL
         SELECT customer_id, CAST(created_at AS DATE), arg_max('CITY_' || CAST(order_id % 25 AS VARCHAR), order_id), max(order_id)
-        FROM headers WHERE priority = '1-URGENT' GROUP BY 1, 2"""),
+        FROM headers GROUP BY 1, 2"""),
     "history": (("change_log",), """
         SELECT customer_id, city, change_id, effective_date,
                lead(effective_date) OVER w AS expiry_date, row_number() OVER w AS version,
