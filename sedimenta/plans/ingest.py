@@ -370,6 +370,14 @@ def six_sources(spark, sf):
     }
 
 
+def reject_reasons():
+    """What the loads reject; the addresses are masked before they are judged."""
+    return {
+        "p001": routing.first_reason({"INVALID_EMAIL": F.col("email") == "***@masked.com"}),
+        "p002": routing.first_reason({"NEGATIVE_AMOUNT": routing.negative("total_amount")}),
+    }
+
+
 @query("A18_metadata_ingestion", expect("""
 SELECT 'run1' AS run_id, 'SUCCESS' AS status, 'p001' AS pipeline_id, count(*) AS records_extracted, count(*) FILTER (email LIKE '%@%') AS records_loaded,
        count(*) FILTER (email NOT LIKE '%@%') AS records_rejected FROM customers
@@ -379,12 +387,8 @@ UNION ALL SELECT 'run1', 'SUCCESS', 'p004', count(*), count(*), 0 FROM orders
 UNION ALL SELECT 'run1', 'SUCCESS', 'p005', count(*), count(*), 0 FROM events
 UNION ALL SELECT 'run1', 'SUCCESS', 'p006', count(*), count(*), 0 FROM supplier""", "customers", "source_orders"))
 def _(spark, sf):
-    reasons = {
-        "p001": routing.first_reason({"INVALID_EMAIL": F.col("email") == "***@masked.com"}),
-        "p002": routing.first_reason({"NEGATIVE_AMOUNT": routing.negative("total_amount")}),
-    }
     specs = ingest.specs_from_rows(read_config(warehouse.CONFIG / "sources.json")["sources"])
-    results = ingest.ingest(spark, specs, six_sources(spark, sf), scratch_path(spark, "bronze"), "run1", reasons)
+    results = ingest.ingest(spark, specs, six_sources(spark, sf), scratch_path(spark, "bronze"), "run1", reject_reasons())
     return audit.audit_rows(spark, results)
 
 

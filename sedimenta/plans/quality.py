@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
+import itertools
+
 from pyspark.sql import functions as F
 
 from sedimenta.functions import privacy
-from sedimenta.operators import audit, gold, quality, regression
+from sedimenta.operators import audit, gold, ingest, quality, regression, runs
 from sedimenta.operators.incremental import incremental_load
 from sedimenta.operators.quality import Contract, Rule
+from sedimenta.plans import ingest as loads
 from sedimenta.plans import warehouse
 from sedimenta.plans.expected import expect
 from sedimenta.plans.registry import query
@@ -243,6 +247,83 @@ def _(spark, sf):
     return audit.audit_rows(spark, [orders, customers])
 
 
+def _clock(first: str, step_seconds: int):
+    """A clock that goes on by ``step_seconds`` whenever it is read."""
+    ticks = itertools.count()
+    start = datetime.datetime.fromisoformat(first)
+    return lambda: (start + datetime.timedelta(seconds=step_seconds * next(ticks))).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def audited_runs(spark, sf):
+    """Six sources of which one cannot be reached, after a run that died while it loaded the last one."""
+    def unreachable():
+        raise ConnectionError("page 2 timed out")
+
+    root = scratch_path(spark, "audited")
+    record = runs.RunAudit(spark, root, _clock("2024-06-01 00:00:00", 60))
+    record.start("run0", "p006")
+    specs = ingest.specs_from_rows(read_config(warehouse.CONFIG / "sources.json")["sources"])
+    sources = loads.six_sources(spark, sf) | {"p004": unreachable}
+    ingest.ingest(spark, specs, sources, root, "run1", loads.reject_reasons(), record, wait_seconds=0)
+    return record, root
+
+
+_RUNS = """runs AS (
+SELECT 'run0' AS run_id, 'p006' AS pipeline_id, 'FAILED' AS status, 0 AS start_minute, 1 AS end_minute, 0 AS records_extracted, 0 AS records_rejected,
+       'ended without a result, closed by run1' AS error_message
+UNION ALL SELECT 'run1', 'p001', 'SUCCESS', 2, 3, count(*), count(*) FILTER (email NOT LIKE '%@%'), NULL FROM customers
+UNION ALL SELECT 'run1', 'p002', 'SUCCESS', 4, 5, count(*), count(*) FILTER (total_amount < 0), NULL FROM source_orders
+UNION ALL SELECT 'run1', 'p003', 'SUCCESS', 6, 7, count(*), 0, NULL FROM part
+UNION ALL SELECT 'run1', 'p004', 'FAILED', 8, 9, 0, 0, 'ConnectionError: page 2 timed out'
+UNION ALL SELECT 'run1', 'p005', 'SUCCESS', 10, 11, count(*), 0, NULL FROM events
+UNION ALL SELECT 'run1', 'p006', 'SUCCESS', 12, 13, count(*), 0, NULL FROM supplier),
+run_audit AS (SELECT run_id, pipeline_id, status, TIMESTAMP '2024-06-01 00:00:00' + to_minutes(start_minute) AS start_time,
+  TIMESTAMP '2024-06-01 00:00:00' + to_minutes(end_minute) AS end_time, CAST(records_extracted AS BIGINT) AS records_extracted,
+  CAST(records_extracted - records_rejected AS BIGINT) AS records_loaded, CAST(records_rejected AS BIGINT) AS records_rejected, error_message FROM runs)"""
+
+
+@query("J13_run_states", expect(", " + _RUNS + " SELECT * FROM run_audit", "customers", "source_orders"))
+def _(spark, sf):
+    return audited_runs(spark, sf)[0].frame()
+
+
+@query("J13_whole_run_status", """
+SELECT 'run0' AS run_id, 'FAILED' AS status, 1::BIGINT AS failed_loads UNION ALL SELECT 'run1', 'PARTIAL', 1""")
+def _(spark, sf):
+    return audited_runs(spark, sf)[0].run_status()
+
+
+@query("J5_status_sla_of_runs", expect(", " + _RUNS + """
+SELECT pipeline_id, end_time AS last_processed_ts, status AS last_run_status, records_loaded, records_rejected,
+       CASE WHEN status = 'SUCCESS' THEN 'SLA_MET' ELSE 'SLA_BREACH' END AS sla_compliance FROM run_audit WHERE run_id = 'run1'""",
+    "customers", "source_orders"))
+def _(spark, sf):
+    return audit.status_sla(audited_runs(spark, sf)[0].frame())
+
+
+@query("J11_completeness_of_runs", expect(", " + _RUNS + """
+SELECT run_id, pipeline_id, records_extracted, records_loaded, records_rejected, 0::BIGINT AS unaccounted, 'SLA_MET' AS completeness FROM run_audit""",
+    "customers", "source_orders"))
+def _(spark, sf):
+    return audit.completeness(audited_runs(spark, sf)[0].frame())
+
+
+@query("J12_duration_sla_of_runs", expect(", " + _RUNS + """
+SELECT run_id, pipeline_id, records_loaded, 60::BIGINT AS duration_seconds, CAST(records_loaded AS DOUBLE) / 60 AS rows_per_second, 'SLA_MET' AS duration
+FROM run_audit""", "customers", "source_orders"))
+def _(spark, sf):
+    return audit.duration_sla(audited_runs(spark, sf)[0].frame(), limit_seconds=60)
+
+
+@query("B11_quarantine_in_loads", expect("""
+SELECT 'run1' AS run_id, 'p002' AS pipeline_id, 'NEGATIVE_AMOUNT' AS reason_code, order_id AS payload_key FROM source_orders WHERE total_amount < 0
+UNION ALL SELECT 'run1', 'p001', 'INVALID_EMAIL', customer_id FROM customers WHERE email NOT LIKE '%@%'""", "source_orders", "customers"))
+def _(spark, sf):
+    _record, root = audited_runs(spark, sf)
+    key = F.coalesce(F.get_json_object("raw_payload", "$.order_id"), F.get_json_object("raw_payload", "$.customer_id"))
+    return ingest.quarantined(spark, root).select("run_id", "pipeline_id", "reason_code", key.cast("bigint").alias("payload_key"))
+
+
 @query("J14_golden_compare", expect("""
 SELECT (SELECT count(*) FROM items) AS actual_rows, (SELECT count(*) FROM items) AS golden_rows,
        (SELECT count(*) FROM items WHERE quantity > 45) AS missing_rows, (SELECT count(*) FROM items WHERE quantity > 45) AS unexpected_rows,

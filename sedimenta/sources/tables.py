@@ -206,6 +206,36 @@ def _text(value) -> str | None:
     return None if value is None else str(value)
 
 
+class AppendTable:
+    """Rows of named batches, each appended once: a batch that is committed under its name is not written again."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+        self.log = CommitLog(spark, f"{root}/_commits")
+
+    def append(self, df: DataFrame, name: str) -> None:
+        if self._committed(name):
+            return
+        path = f"{self.root}/data-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        for _ in range(MOST_TRIES):
+            number = self.log.last_number() + 1
+            if self.log.put(number, {"run_id": name, "path": path, "schema": df.schema.json()}) or self._committed(name):
+                return
+        raise ConcurrentCommit(f"no commit after {MOST_TRIES} tries in {self.root}")
+
+    def _committed(self, name: str) -> bool:
+        return self.log.find(_COMMIT_SCHEMA, run_id=name) is not None
+
+    def read(self) -> DataFrame:
+        _number, newest = self.log.last()
+        if newest is None:
+            raise ValueError(f"nothing was appended to {self.root}")
+        paths = [r["path"] for r in self.log.frame(_COMMIT_SCHEMA).select("path").collect()]
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(newest["schema"]))).parquet(*paths)
+
+
 class LandingTable:
     """Append target of runs, each with its valid and its rejected rows.
 
@@ -264,8 +294,9 @@ class LandingTable:
     def valid(self) -> DataFrame:
         return self._route("valid").drop("reason_code")
 
-    def rejected(self) -> DataFrame:
-        return self._route("rejected")
+    def rejected(self, run_id: str | None = None) -> DataFrame:
+        rows = self._route("rejected")
+        return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
 
 class WatermarkControl:
