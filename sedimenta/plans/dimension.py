@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta.functions import keys
-from sedimenta.operators import ordered, scd, star
+from sedimenta.operators import scd, star
+from sedimenta.operators.surrogate import KeyRanges, KeyTable
 from sedimenta.plans import warehouse
 from sedimenta.plans.expected import expect
 from sedimenta.plans.registry import query
-from sedimenta.session import materialise
+from sedimenta.session import materialise, scratch_path
 from sedimenta.sources import entities
 
 AS_OF = "2024-06-01"
@@ -120,18 +121,12 @@ SELECT customer_id, row_number() OVER (ORDER BY customer_id)
 FROM customers WHERE balance < 0
 UNION ALL SELECT customer_id, row_number() OVER (ORDER BY customer_id) FROM customers WHERE balance >= 0""", "customers"))
 def _(spark, sf):
-    source = entities.customers(spark, sf).select("customer_id", "balance")
-    loaded = _numbered(source.where(F.col("balance") >= 0), F.lit(0))
-    highest = loaded.agg(F.max("customer_sk")).scalar()
-    return loaded.unionByName(_numbered(source.where(F.col("balance") < 0), highest))
-
-
-def _numbered(rows, offset):
-    """Dense keys above ``offset``; there must be one writer, as for any sequence."""
-    numbered = ordered.ordered_window(
-        rows, {"n": ordered.row_number()}, order_by=[("customer_id", "asc")], tiebreak=[]
-    )
-    return numbered.select("customer_id", (F.col("n") + offset).alias("customer_sk"))
+    # Each load reserves its range before it writes, so loads need not wait for each other.
+    source = materialise(entities.customers(spark, sf).select("customer_id", "balance"), "members")
+    ranges = KeyRanges(spark, scratch_path(spark, "ranges"))
+    first = ranges.number(source.where(F.col("balance") >= 0).select("customer_id"), ["customer_id"], "customer_sk", "run1")
+    second = ranges.number(source.where(F.col("balance") < 0).select("customer_id"), ["customer_id"], "customer_sk", "run2")
+    return first.unionByName(second)
 
 
 @query("I8_hash_surrogate_key", expect("""
@@ -155,6 +150,27 @@ def star_load(spark, sf):
     return warehouse.facts(spark, sf).withColumns({c: F.col(c).cast("double") for c in amounts})
 
 
+def checked_customers(spark, sf, length=15):
+    """The customer dimension with keys from a key table that two loads have filled."""
+    dim = warehouse.dim_customer(spark, sf).where(F.col("customer_id") != -1).drop("customer_sk")
+    table = KeyTable(spark, scratch_path(spark, "keys"), ["customer_id", "effective_date"], "customer_sk", length)
+    table.assign(dim.where(F.col("customer_id") % 3 == 0), "run1")
+    keys = table.assign(dim, "run2")
+    return star.seeded(keys.join(dim, table.business).select("customer_sk", *dim.columns), star.UNKNOWN_CUSTOMER)
+
+
+@query("I8_checked_keys", expect("SELECT customer_sk, customer_id, effective_date FROM dim_customer WHERE customer_id <> -1", "dim_customer"))
+def _(spark, sf):
+    return checked_customers(spark, sf).where(F.col("customer_id") != -1).select("customer_sk", "customer_id", "effective_date")
+
+
+@query("I9_star_load_checked_keys", expect("""
+SELECT order_id, customer_sk, date_key, quantity, CAST(net_amount AS DOUBLE) AS net_amount FROM facts""", "facts"))
+def _(spark, sf):
+    facts = star.load_facts(entities.order_items(spark, sf), entities.source_orders(spark, sf), customers=checked_customers(spark, sf))
+    return facts.select("order_id", "customer_sk", "date_key", "quantity", F.col("net_amount").cast("double").alias("net_amount"))
+
+
 @query("I9_star_load_new_orders_only", expect("""
 SELECT order_id, count(*) AS lines FROM facts WHERE order_id NOT IN (SELECT order_id FROM items WHERE return_flag = 'R')
 GROUP BY order_id""", "facts"))

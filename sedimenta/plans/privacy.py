@@ -9,6 +9,7 @@ from sedimenta.operators import vault
 from sedimenta.plans import warehouse
 from sedimenta.plans.expected import expect
 from sedimenta.plans.registry import query
+from sedimenta.session import materialise, scratch_path
 from sedimenta.sources import entities
 
 
@@ -103,6 +104,36 @@ def _(spark, sf):
     )
 
 
+@query("K8_random_tokens_after_erasure", expect("""
+SELECT state, count(*) AS customer_count, CAST(sum(CAST(balance AS DECIMAL(14,2))) AS DOUBLE) AS balance,
+       count(*) FILTER (customer_id IN (SELECT user_id FROM events WHERE event_type = 'error')) AS unlinkable,
+       count(*) AS tokens, 0::BIGINT AS derivable, 0::BIGINT AS changed
+FROM customers GROUP BY state""", "customers"))
+def _(spark, sf):
+    source = entities.customers(spark, sf).select("customer_id", "email", "phone", "state", "balance")
+    persons = source.select("customer_id", "email", "phone")
+    stored = vault.TokenVault(spark, scratch_path(spark, "vault"), "customer_id", persons.schema)
+    stored.assign(persons.where(F.col("customer_id") % 2 == 0), "even")
+    early = materialise(stored.read().select("customer_id", F.col("customer_id_token").alias("_early")), "early")
+    stored.assign(persons, "all")  # those that are stored keep their tokens
+    tokened = materialise(stored.tokenise(source), "tokened")
+    moved = materialise(
+        stored.read().join(early, "customer_id").where(F.col("_early") != F.col("customer_id_token")).select("customer_id_token"), "moved")
+    requests = entities.events(spark, sf).where(F.col("event_type") == "error").select(F.col("user_id").alias("customer_id"))
+    stored.erase(requests, "requests")
+    left = stored.read().select("customer_id_token", F.lit(1).alias("_linked"))
+    # Who knows all keys and the pepper can compute the derived tokens; none of them is in use.
+    derived = source.select(privacy.peppered_token("customer_id", pepper(spark)).alias("customer_id_token"), F.lit(1).alias("_derived"))
+    found = tokened.join(left, "customer_id_token", "left").join(derived, "customer_id_token", "left").join(
+        moved.withColumn("_moved", F.lit(1)), "customer_id_token", "left")
+    return found.groupBy("state").agg(
+        F.count("*").alias("customer_count"),
+        F.sum(F.col("balance").cast("decimal(14,2)")).cast("double").alias("balance"),
+        F.count(F.when(F.col("_linked").isNull(), 1)).alias("unlinkable"),
+        F.countDistinct("customer_id_token").alias("tokens"), F.count("_derived").alias("derivable"), F.count("_moved").alias("changed"),
+    )
+
+
 @query("K9_minimise_columns", expect("""
 SELECT customer_id, city, state, effective_date, is_current, version FROM dim_customer""", "dim_customer"))
 def _(spark, sf):

@@ -81,6 +81,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialise`` has written, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)

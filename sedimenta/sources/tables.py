@@ -189,6 +189,23 @@ class PartitionedTable:
                 return last + 1
         raise ConcurrentCommit(f"no commit after {MOST_TRIES} tries in {self.root}")
 
+    def purge(self) -> int:
+        """Delete every directory that the newest version does not name; how many there were.
+
+        Older versions cannot be read afterwards, which erasure asks for. No writer may be at work meanwhile.
+        """
+        named = {"/".join(e["path"].rsplit("/", 2)[-2:]) for e in self.entries().values()}
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        deleted = 0
+        for data in (s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("data-")):
+            parts = [s.getPath() for s in fs.listStatus(data) if s.getPath().getName().startswith("_p=")]
+            stale = [p for p in parts if f"{data.getName()}/{p.getName()}" not in named]
+            for path in stale if len(stale) < len(parts) else [data]:
+                fs.delete(path, True)
+            deleted += len(stale)
+        return deleted
+
     def _written(self, base: str, schema: T.StructType) -> dict[str | None, dict]:
         """The partitions of a new directory, with their numbers of rows."""
         rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("_p", T.StringType())])).parquet(base)
@@ -214,15 +231,18 @@ class AppendTable:
         self.root = root
         self.log = CommitLog(spark, f"{root}/_commits")
 
-    def append(self, df: DataFrame, name: str) -> None:
+    def append(self, df: DataFrame, name: str, expected: int | None = None) -> None:
+        """Append a batch; with ``expected``, only if that is still the number of the last commit."""
         if self._committed(name):
             return
         path = f"{self.root}/data-{uuid.uuid4().hex}"
         df.write.parquet(path)
         for _ in range(MOST_TRIES):
-            number = self.log.last_number() + 1
+            number = self.log.last_number() + 1 if expected is None else expected + 1
             if self.log.put(number, {"run_id": name, "path": path, "schema": df.schema.json()}) or self._committed(name):
                 return
+            if expected is not None:
+                raise ConcurrentCommit(f"{self.root} has grown beyond commit {expected}")
         raise ConcurrentCommit(f"no commit after {MOST_TRIES} tries in {self.root}")
 
     def _committed(self, name: str) -> bool:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.operators.merge import latest_per_key
-from sedimenta.session import materialise
+from sedimenta.session import discard, materialise
 from sedimenta.sources.tables import PartitionedTable
 
 MOST_ROWS = 500_000
@@ -60,6 +60,7 @@ class KeyBuckets:
         changed = materialise(change(stored, batch).select(*self.schema.fieldNames()), "merged")
         buckets = self._bucketed(changed, touched or [""])
         done = self.table.replace(buckets, run_id, touched=touched, based_on=version, splits=True)
+        discard(changed)
         new = self.table.log.get(done)["changed"]
         return {
             "rows_read": sum(entries[b]["rows"] for b in touched), "buckets_read": len(touched),
@@ -114,7 +115,9 @@ class EnvelopeMerge:
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
         """Handle a micro-batch."""
-        self.progress[batch_id] = self.buckets.apply(self._newest(batch), self._change, f"batch-{batch_id}")
+        newest = self._newest(batch)
+        self.progress[batch_id] = self.buckets.apply(newest, self._change, f"batch-{batch_id}")
+        discard(newest)
 
     def read(self) -> DataFrame:
         return self.buckets.read().where("_alive").select(*self.row.fieldNames())
