@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(14,2)"
+TOTAL = "decimal(28,2)"
 RATE = "decimal(4,2)"
 QUANTITY = "decimal(5,0)"
 
@@ -28,6 +29,11 @@ def sum_exact(col: Column | str) -> Column:
     return F.sum(_col(col)).cast("double")
 
 
+def sum_totals(col: Column | str) -> Column:
+    """Exact sum of amounts that are sums themselves, up to 10**26 each, as a double."""
+    return F.sum(_col(col).cast(TOTAL)).cast("double")
+
+
 def ratio(total: Column, count: Column) -> Column:
     """Quotient of two exact aggregates, computed once in double precision."""
     return total.cast("double") / count.cast("double")

@@ -54,6 +54,13 @@ def mask_phone_national(col: str) -> Column:
     )
 
 
+def mask_address(col: str) -> Column:
+    """What follows the first comma, which names the town; an address without one is masked whole."""
+    c = F.col(col)
+    rest = F.substring(c, F.instr(c, ",") + 1, F.length(c))
+    return F.when(F.instr(c, ",") > 0, F.concat(F.lit("***,"), rest)).otherwise(F.when(c.isNotNull(), "***"))
+
+
 def sha256(col: str) -> Column:
     return F.sha2(F.col(col).cast("string"), 256)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.dates import order_date
-from sedimenta.functions.money import money, ratio, sum_exact, sum_money
+from sedimenta.functions.money import money, ratio, sum_exact, sum_money, sum_totals
 
 
 def silver_orders(orders: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def monthly_orders(order_facts: DataFrame) -> DataFrame:
 def top_stores(daily: DataFrame, n: int) -> DataFrame:
     return (
         daily.groupBy("store_id")
-        .agg(sum_money("total_revenue").alias("gross_revenue"))
+        .agg(sum_totals("total_revenue").alias("gross_revenue"))
         .orderBy(F.desc("gross_revenue"), "store_id")
         .limit(n)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,7 @@ class LoadResult:
 
 
 def incremental_load(
-    source: DataFrame,
+    source: DataFrame | Callable[[str, str | None], DataFrame],
     target: LandingTable,
     control: WatermarkControl,
     *,
@@ -37,6 +38,9 @@ def incremental_load(
 ) -> LoadResult:
     """Load the rows newer than the stored watermark.
 
+    ``source`` may be a function of the watermark and ``until`` that reads no more than it must, where the scan cannot
+    see the watermark column itself; the exact filter follows in any case.
+
     Without ``until`` the watermark becomes the greatest time among the *valid* rows, so rejected
     rows newer than it are read again; ``advance_over_rejects`` changes that. With ``until`` the
     interval is closed at that time and the watermark becomes ``until``. It does not move when nothing was loaded.
@@ -52,7 +56,8 @@ def incremental_load(
         return LoadResult(**{f.name: done[f.name] for f in fields(LoadResult)})
     position, previous = control.position(pipeline_id)
     moment = F.col(watermark_column)
-    delta = source.where(moment > F.lit(previous).cast("timestamp_ntz"))
+    rows = source(previous, until) if callable(source) else source
+    delta = rows.where(moment > F.lit(previous).cast("timestamp_ntz"))
     if until is not None:
         delta = delta.where(moment <= F.lit(until).cast("timestamp_ntz"))
     routed = delta.withColumn("reason_code", reason)

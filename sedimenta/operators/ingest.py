@@ -50,13 +50,13 @@ TRANSIENT = (ConnectionError, TimeoutError)
 def ingest(
     spark: SparkSession, specs: list[SourceSpec], sources: dict[str, Callable[[], DataFrame]],
     root: str, run_id: str, reasons: dict[str, Column] | None = None, audit: RunAudit | None = None,
-    tries: int = 3, wait_seconds: float = 0.5,
+    tries: int = 3, wait_seconds: float = 0.5, pepper: str | None = None,
 ) -> list[LoadResult]:
     """Load every active source by its mode; the loop is over control rows only.
 
     A source that fails does not stop the others: its run ends as FAILED with the error, and the results name the loads that
     succeeded. A transient error is tried again, waiting twice as long each time. Rejected rows are appended to the
-    quarantine of ``root`` in the same load. Without ``audit`` the first failure is raised after all sources were tried.
+    quarantine of ``root`` in the same load. ``pepper`` is the secret of the tokens that stand for personal numbers. Without ``audit`` the first failure is raised after all sources were tried.
     """
     active = [s for s in specs if s.is_active]
     record = audit or RunAudit(spark, root)
@@ -65,7 +65,7 @@ def ingest(
     for spec in active:
         at = record.start(run_id, spec.pipeline_id)
         try:
-            result = _tried(lambda s=spec, at=at: _load(spark, s, sources[s.pipeline_id], root, run_id, reasons or {}, at), tries, wait_seconds)
+            result = _tried(lambda s=spec, at=at: _load(spark, s, sources[s.pipeline_id], root, run_id, reasons or {}, at, pepper), tries, wait_seconds)
         except Exception as error:
             record.fail(run_id, spec.pipeline_id, error)
             failures.append(error)
@@ -101,10 +101,10 @@ def _quarantine(spark, target: LandingTable, spec: SourceSpec, root: str, run_id
     AppendTable(spark, f"{root}/rejected_records").append(rejects, f"{run_id}/{spec.pipeline_id}")
 
 
-def _load(spark, spec: SourceSpec, source, root: str, run_id: str, reasons: dict, run_ts: str) -> LoadResult:
+def _load(spark, spec: SourceSpec, source, root: str, run_id: str, reasons: dict, run_ts: str, pepper: str | None) -> LoadResult:
     path = f"{root}/{spec.target_table}"
     reason = reasons.get(spec.pipeline_id, F.lit(None).cast("string"))
-    frame = mask_configured(source(), list(spec.pii_columns))
+    frame = mask_configured(source(), list(spec.pii_columns), pepper)
     if spec.ingestion_mode == "incremental":
         target = LandingTable(spark, path)
         result = incremental_load(

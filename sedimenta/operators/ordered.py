@@ -13,6 +13,7 @@ The tie-break must make the sort key unique, otherwise equal rows share one buck
 
 from __future__ import annotations
 
+import base64
 import datetime
 import decimal
 import json
@@ -98,8 +99,8 @@ def ordered_window(
 ) -> DataFrame:
     """Add the columns named in ``calls`` to ``df``.
 
-    ``order_by`` lists ``(column, "asc" | "desc")``; descending columns must be numbers, dates or
-    timestamps (not text or timestamps without zone). ``df`` is read several times, so pass a table or a materialised frame.
+    ``order_by`` lists ``(column, "asc" | "desc")``; ``desc`` takes numbers, booleans, dates, timestamps with or without zone,
+    text and binary. ``df`` is read several times, so pass a table or a materialised frame.
     """
     layout = _bucketed(df, list(partition_by), order_by, tiebreak, buckets)
     local = _local(layout, calls)
@@ -115,21 +116,44 @@ def ordered_window(
 # --- bucketing -----------------------------------------------------------------------------
 
 
+_HEX, _COMPLEMENT, _AFTER_HEX = "0123456789ABCDEF", "FEDCBA9876543210", "G"
+
+
 def _ascending(col: str, direction: str, dtype: T.DataType) -> dict[str, Column]:
-    """Columns that sort ascending the way ``col`` sorts in ``direction``."""
+    """Columns that sort ascending the way ``col`` sorts in ``direction``: nulls first, or last when descending.
+
+    Whole numbers are complemented bit by bit, as the least of them has no negative. Text and binary are complemented digit by
+    digit in hexadecimal and end in a letter behind all digits, so a text comes after those it is the beginning of.
+    """
     c = F.col(col)
     if isinstance(dtype, T.TimestampType):
-        micros = F.unix_micros(c)
-        return {f"_o_{col}": micros} if direction == "asc" else {f"_n_{col}": c.isNull(), f"_o_{col}": -micros}
-    if direction == "asc":
+        number = F.unix_micros(c)
+    elif direction == "asc":
         return {col: c}
-    if isinstance(dtype, T.NumericType):
-        negated = -c
+    elif isinstance(dtype, T.TimestampNTZType):
+        # Counted from a time without zone, so no clock change comes in between.
+        number = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
     elif isinstance(dtype, T.DateType):
-        negated = -F.unix_date(c)
+        number = F.unix_date(c)
     else:
-        raise TypeError(f"cannot sort {col} ({dtype.simpleString()}) descending")
-    return {f"_n_{col}": c.isNull(), f"_o_{col}": negated}  # nulls last, as a descending sort puts them
+        number = c
+    if direction == "asc":
+        return {f"_o_{col}": number}
+    last = {f"_n_{col}": c.isNull()}
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType, T.IntegralType)):
+        return last | {f"_o_{col}": F.bitwise_not(number)}
+    if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
+        # NaN is the greatest number. Zero has two signs that count as one.
+        zero = F.lit(0).cast(dtype)
+        plain = F.when(F.isnan(c) | (c == zero), zero).otherwise(-c)
+        return last | {f"_g_{col}": ~F.isnan(c), f"_o_{col}": F.when(c.isNotNull(), plain)}
+    if isinstance(dtype, T.DecimalType):
+        return last | {f"_o_{col}": -c}
+    if isinstance(dtype, T.BooleanType):
+        return last | {f"_o_{col}": ~c}
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return last | {f"_o_{col}": F.concat(F.translate(F.hex(c), _HEX, _COMPLEMENT), F.lit(_AFTER_HEX))}
+    raise TypeError(f"cannot sort {col} ({dtype.simpleString()}) descending")
 
 
 def _bucketed(df, partition_by, order_by, tiebreak, buckets) -> _Layout:
@@ -171,6 +195,8 @@ def _json_value(value):
         return value.isoformat(timespec="microseconds")
     if isinstance(value, (datetime.date, decimal.Decimal)):
         return str(value)
+    if isinstance(value, (bytes, bytearray)):
+        return base64.b64encode(value).decode()
     return value
 
 

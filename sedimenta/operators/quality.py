@@ -56,8 +56,12 @@ class Contract:
 
 
 def violated(rule: Rule) -> Column:
-    """Row predicate that is true where the rule is broken. Except for not_null, NULL passes."""
-    c = F.col(rule.column)
+    """Row predicate that is true where the rule is broken. Except for not_null and all_present, NULL passes.
+
+    The rules over several columns name them in ``args``: ``all_present`` the columns, ``none_where`` a condition that
+    no row may fulfil.
+    """
+    c = F.col(rule.column) if rule.column else None
     broken = {
         "not_null": lambda: c.isNull(),
         "not_empty": lambda: c.isNull() | (c.cast("string") == ""),
@@ -66,6 +70,8 @@ def violated(rule: Rule) -> Column:
         "min": lambda: c < rule.args[0],
         "gt": lambda: c <= rule.args[0],
         "between": lambda: ~c.between(*rule.args),
+        "all_present": lambda: reduce(Column.__or__, [F.col(a).isNull() for a in rule.args]),
+        "none_where": lambda: F.expr(rule.args[0]),
         "length": lambda: ~F.length(c).between(*rule.args),
     }[rule.kind]()
     return F.coalesce(broken, F.lit(False))

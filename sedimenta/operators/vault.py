@@ -85,7 +85,18 @@ def minimise(df: DataFrame, allowed: list[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c in allowed])
 
 
-def mask_configured(df: DataFrame, pii_columns: list[str]) -> DataFrame:
-    """Mask configured columns before landing: addresses and phones readably, the rest by hash."""
-    masks = {"email": privacy.mask_email_prefix, "phone": privacy.mask_phone_national}
-    return df.withColumns({c: masks.get(c, privacy.sha256)(c) for c in pii_columns if c in df.columns})
+#: How columns of these names are masked; the others are replaced by a token.
+_MASKS = {
+    "email": privacy.mask_email_prefix, "personal_email": privacy.mask_email_prefix, "phone": privacy.mask_phone_national,
+    "delivery_address": privacy.mask_address}
+
+
+def mask_configured(df: DataFrame, pii_columns: list[str], pepper: str | None = None) -> DataFrame:
+    """Mask configured columns before landing: addresses and phones readably, the rest by a token.
+
+    Numbers such as social security numbers are few enough to be guessed, so their tokens need a secret.
+    """
+    present = [c for c in pii_columns if c in df.columns]
+    if pepper is None and set(present) - set(_MASKS):
+        raise ValueError(f"a pepper is needed for the tokens of {sorted(set(present) - set(_MASKS))}")
+    return df.withColumns({c: _MASKS[c](c) if c in _MASKS else privacy.peppered_token(c, pepper) for c in present})

@@ -279,6 +279,17 @@ def _(spark, sf):
     ).drop("created_at")
 
 
+@query("E6_latest_orders_per_customer", expect("""
+SELECT order_id, customer_id, created_at, row_number() OVER (PARTITION BY customer_id ORDER BY created_at DESC, priority DESC, order_id) AS recency
+FROM headers""", "headers"))
+def _(spark, sf):
+    rows = entities.order_headers(spark, sf).select("order_id", "customer_id", "priority", "created_at")
+    return ordered.ordered_window(
+        rows, {"recency": ordered.row_number()},
+        partition_by=["customer_id"], order_by=[("created_at", "desc"), ("priority", "desc")], tiebreak=["order_id"],
+    ).drop("priority")
+
+
 @query("F1_sort_by_aggregate", expect("""
 SELECT store_id, order_status, count(*) AS order_count, CAST(sum(CAST(total_amount AS DECIMAL(14,2))) AS DOUBLE) AS amount
 FROM source_orders GROUP BY ALL ORDER BY amount DESC, store_id, order_status""", "source_orders"))
@@ -294,6 +305,23 @@ def _(spark, sf):
     return entities.order_headers(spark, sf).select("order_id", "total_amount").orderBy(F.desc("total_amount"), "order_id").limit(10)
 
 
+@query("F4_running_revenue_sample", expect("""
+SELECT date_key, CAST(daily_net AS DOUBLE) AS daily_net,
+       CAST(sum(daily_net) OVER (ORDER BY date_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total
+FROM (SELECT date_key, sum(net_amount) AS daily_net FROM facts GROUP BY date_key) ORDER BY date_key LIMIT 5""", "facts"))
+def _(spark, sf):
+    return running_revenue(spark, sf).orderBy("date_key").limit(5)
+
+
+@query("F4_lag_lead_sample", expect("""
+SELECT customer_sk, order_month, month_orders, lag(month_orders) OVER w AS prev_month_orders, lead(month_orders) OVER w AS next_month_orders
+FROM (SELECT customer_sk, date_key // 100 AS order_month, count(DISTINCT order_id) AS month_orders FROM facts
+      WHERE customer_sk <> -1 GROUP BY ALL)
+WINDOW w AS (PARTITION BY customer_sk ORDER BY order_month) ORDER BY customer_sk, order_month LIMIT 5""", "facts"))
+def _(spark, sf):
+    return monthly_orders(spark, sf).orderBy("customer_sk", "order_month").limit(5)
+
+
 @query("F5_union_all", """
 SELECT 'orders' AS source, o_orderkey AS record_id, o_totalprice AS amount FROM orders
 UNION ALL SELECT 'events', event_id, value FROM events""")

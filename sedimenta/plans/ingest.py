@@ -18,6 +18,8 @@ from sedimenta.streaming import sinks
 
 CUT = "1998-07-01 00:00:00"
 RUN_TS = "2024-06-01 00:00:00"
+#: Serves the checks only; a deployment passes its own secret.
+PEPPER = "check-pepper"
 
 
 @query("A1_csv_scan", expect("SELECT * FROM customers", "customers"))
@@ -105,8 +107,13 @@ def two_incremental_runs(spark, sf, **options):
     """A first run when the source ended at the cut, a second one over the grown source."""
     root = scratch_path(spark, "incremental")
     target, control = LandingTable(spark, f"{root}/orders"), WatermarkControl(spark, root)
-    source = entities.source_orders(spark, sf)
-    early = source.where(F.col("updated_at") <= F.lit(CUT).cast("timestamp_ntz"))
+
+    def source(after, until):
+        return entities.source_orders(spark, sf, after, until)
+
+    def early(after, until):
+        return source(after, CUT).where(F.col("updated_at") <= F.lit(CUT).cast("timestamp_ntz"))
+
     reason = F.when(F.col("total_amount") < 0, "NEGATIVE_AMOUNT")
     results = [
         incremental_load(frame, target, control, pipeline_id="p002", run_id=run_id, watermark_column="updated_at",
@@ -144,8 +151,8 @@ def _(spark, sf):
     target, control = LandingTable(spark, f"{root}/orders"), WatermarkControl(spark, root)
     reason = F.when(F.col("total_amount") < 0, "NEGATIVE_AMOUNT")
     results = [
-        incremental_load(entities.source_orders(spark, sf), target, control, pipeline_id="p002", run_id=run_id,
-                         watermark_column="updated_at", reason=reason, until=until)
+        incremental_load(lambda after, end: entities.source_orders(spark, sf, after, end), target, control, pipeline_id="p002",
+                         run_id=run_id, watermark_column="updated_at", reason=reason, until=until)
         for run_id, until in (("run1", CUT), ("run2", "2000-01-01 00:00:00"))
     ]
     rows = [(r.run_id, r.extracted, r.loaded, r.previous_watermark, r.new_watermark) for r in results]
@@ -388,7 +395,8 @@ UNION ALL SELECT 'run1', 'SUCCESS', 'p005', count(*), count(*), 0 FROM events
 UNION ALL SELECT 'run1', 'SUCCESS', 'p006', count(*), count(*), 0 FROM supplier""", "customers", "source_orders"))
 def _(spark, sf):
     specs = ingest.specs_from_rows(read_config(warehouse.CONFIG / "sources.json")["sources"])
-    results = ingest.ingest(spark, specs, six_sources(spark, sf), scratch_path(spark, "bronze"), "run1", reject_reasons())
+    results = ingest.ingest(
+        spark, specs, six_sources(spark, sf), scratch_path(spark, "bronze"), "run1", reject_reasons(), pepper=PEPPER)
     return audit.audit_rows(spark, results)
 
 
@@ -424,11 +432,13 @@ def _(spark, sf):
 
 @query("A21_mask_before_landing", expect("""
 SELECT 'masked' AS style, customer_id, CASE WHEN email LIKE '%@%' THEN substr(email, 1, 2) || '***@example.com' ELSE '***@masked.com' END AS email,
-       '+91XXXXXX' || right(phone, 4) AS phone FROM customers
-UNION ALL SELECT 'raw', customer_id, email, phone FROM customers""", "customers"))
+       '+91XXXXXX' || right(phone, 4) AS phone, '***, ' || city AS delivery_address, sha256(phone || '_check-pepper') AS ssn FROM customers
+UNION ALL SELECT 'raw', customer_id, email, phone, 'Street ' || customer_id || ', ' || city, phone FROM customers""", "customers"))
 def _(spark, sf):
-    raw = entities.customers(spark, sf).select("customer_id", "email", "phone")
-    masked = vault.mask_configured(raw, ["email", "phone"])
+    address = F.concat(F.lit("Street "), F.col("customer_id").cast("string"), F.lit(", "), F.col("city"))
+    raw = entities.customers(spark, sf).select(
+        "customer_id", "email", "phone", address.alias("delivery_address"), F.col("phone").alias("ssn"))
+    masked = vault.mask_configured(raw, ["email", "phone", "delivery_address", "ssn"], PEPPER)
     root = scratch_path(spark, "styles")
     for style, frame in (("masked", masked), ("raw", raw)):
         frame.write.parquet(f"{root}/style={style}")

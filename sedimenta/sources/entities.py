@@ -15,9 +15,13 @@ from sedimenta.functions.money import MONEY, QUANTITY, RATE
 from sedimenta.sources.readers import table
 
 
+#: The longest time between creation and update.
+MOST_HOURS = 48
+
+
 def _hours_after(ts: str, key: str) -> Column:
     """The update time: one to forty-eight hours after creation."""
-    return F.timestamp_add("HOUR", (F.col(key) % 48 + 1).cast("int"), F.col(ts))
+    return F.timestamp_add("HOUR", (F.col(key) % MOST_HOURS + 1).cast("int"), F.col(ts))
 
 
 def stores(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,9 +82,19 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def source_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Order headers with store and signed amount; the store is the customer's nation."""
-    joined = table(spark, sf, "orders").join(
+def source_orders(spark: SparkSession, sf: str, after: str | None = None, until: str | None = None) -> DataFrame:
+    """Order headers with store and signed amount; the store is the customer's nation.
+
+    With ``after`` and ``until`` at least the orders updated between these times. An order is updated at most
+    ``MOST_HOURS`` hours after it was placed, so the scan drops all orders placed too early or too late.
+    """
+    orders = table(spark, sf, "orders")
+    placed = F.col("o_orderdate")
+    if after is not None:
+        orders = orders.where(placed > F.lit(after).cast("timestamp_ntz") - F.expr(f"INTERVAL {MOST_HOURS} HOURS"))
+    if until is not None:
+        orders = orders.where(placed < F.lit(until).cast("timestamp_ntz"))
+    joined = orders.join(
         table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal"),
         F.col("o_custkey") == F.col("c_custkey"),
     )

@@ -122,3 +122,28 @@ def test_encryption_differs_per_row_and_decrypts(spark):
     df = spark.createDataFrame([("a@b",), ("a@b",)], "email string")
     stored = df.select(privacy.encrypt("email", "0" * 32).alias("c"))
     assert {r[0] for r in stored.select(privacy.decrypt("c", "0" * 32)).collect()} == {"a@b"}
+
+
+def test_rules_over_several_columns(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, 3, -1), (None, None, None)], "a int, b int, c int")
+    found = {r.check_name: r.failed_count for r in quality.evaluate(df, [
+        Rule("present", "all_present", None, ("a", "b")), Rule("range", "none_where", None, ("c < 0 OR b > 2",))]).collect()}
+    assert found == {"present": 2, "range": 1}
+
+
+def test_totals_beyond_a_single_amount(spark):
+    from sedimenta.operators import gold
+
+    daily = spark.createDataFrame([(1, 1e13), (1, 2.5), (2, 9e12)], "store_id int, total_revenue double")
+    assert [tuple(r) for r in gold.top_stores(daily, 2).collect()] == [(1, 10_000_000_000_002.5), (2, 9e12)]
+
+
+def test_masking_of_addresses_and_numbers(spark):
+    df = spark.createDataFrame([(1, "Street 1, Pune", "123"), (2, "nowhere", None), (3, None, "123")], "id int, delivery_address string, ssn string")
+    with pytest.raises(ValueError):
+        vault.mask_configured(df, ["ssn"])
+    got = {r.id: (r.delivery_address, r.ssn) for r in vault.mask_configured(df, ["ssn", "delivery_address", "gone"], "p").collect()}
+    assert [got[i][0] for i in (1, 2, 3)] == ["***, Pune", "***", None]
+    assert got[1][1] == got[3][1] and len(got[1][1]) == 64 and "123" not in got[1][1]
+    other = vault.mask_configured(df, ["ssn"], "q").first()["ssn"]
+    assert other != got[1][1]

@@ -126,3 +126,9 @@ def test_order_grain_from_a_stored_fact_table(spark, sf, rows):
 def test_order_facts_shuffle_the_lines_once(spark, sf, no_broadcast):
     text = plan(warehouse.order_facts(spark, sf))
     assert text.count("Exchange hashpartitioning(order_id") == 2  # lines and orders, nothing between sum and join
+
+
+def test_the_watermark_of_a_load_reaches_the_scan(spark, sf):
+    """The load filters on a computed time; the scan sees what that implies for the stored one."""
+    text = plan(entities.source_orders(spark, sf, after="1998-07-01 00:00:00", until="2000-01-01 00:00:00"))
+    assert "GreaterThan(o_orderdate,1998-06-29T00:00" in text and "LessThan(o_orderdate,2000-01" in text
