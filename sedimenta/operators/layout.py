@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +21,9 @@ def write_by_month(df: DataFrame, ts: str, path: str) -> None:
     dated.hint("rebalance", F.col("year"), F.col("month")).write.partitionBy("year", "month").parquet(path)
 
 
-def z_value(columns: list[str], limits: dict[str, tuple[float, float]], bits: int = 8) -> Column:
-    """Interleaved bits of the columns, each scaled to ``2**bits`` steps between its limits."""
+def z_value(columns: list[str], limits: dict[str, tuple[float, float]], bits: int = 16) -> Column:
+    """Interleaved bits of the columns, each scaled to ``2**bits`` steps between its limits; 62 bits at most in all."""
+    bits = min(bits, 62 // len(columns))
     cells = []
     for c in columns:
         low, high = limits[c]
@@ -35,13 +37,14 @@ def z_value(columns: list[str], limits: dict[str, tuple[float, float]], bits: in
     return value
 
 
-def write_clustered(df: DataFrame, columns: list[str], path: str, files: int) -> None:
+def write_clustered(df: DataFrame, columns: list[str], path: str, rows_per_file: int = 1_000_000, least_files: int = 16) -> None:
     """Cluster by z-value: neighbours in all columns share files, so min/max statistics prune.
 
     A row hash follows the z-value in the range key, so a cell with very many rows is spread over
-    several files.
+    several files. Their number follows the rows.
     """
-    stats = df.agg(*[f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)]).first()
+    stats = df.agg(*[f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)], F.count(F.lit(1))).first()
+    files = max(least_files, math.ceil(stats[-1] / rows_per_file))
     limits = {c: (stats[2 * i], stats[2 * i + 1]) for i, c in enumerate(columns)}
     (
         df.withColumns({"_z": z_value(columns, limits), "_row": F.xxhash64(*df.columns)})
