@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm.cells import Sets, linked_forest
+from sedimenta.llm.graph import components
 from sedimenta.llm.hashing import mix, rolling, slices
-from sedimenta.llm.links import (
-    GROUP_KEYS, KEY_BLOB, bit_hits, blob_batch, key_blobs, link_components, parity_sketch, shared_keys, short_sketch)
+from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, bit_hits, blob_batch, ids_table, key_blobs, shared_keys
 from sedimenta.session import materialise
 
 #: Bands and rows: at a similarity of 0.75 a pair is missed once in 95, at 0.8 once in 560, whatever the shingles.
@@ -65,6 +66,19 @@ def _blocks(lines: list[str]) -> Iterator[list[str]]:
         yield block
 
 
+def line_sets(lines: list[str], shingle: int) -> Sets:
+    """The distinct shingles of every line, 48 bits each."""
+    items, sizes = [np.empty(0, dtype=np.uint64)], []
+    for block in _blocks(lines):
+        hashes, begin = _shingles(block, shingle)
+        row = np.repeat(np.arange(len(block), dtype=np.uint64), np.diff(np.append(begin, len(hashes))))
+        whole = np.sort((row << np.uint64(48)) | (hashes >> np.uint64(16)))
+        whole = whole[np.append(True, whole[1:] != whole[:-1])]
+        sizes.append(np.bincount((whole >> np.uint64(48)).astype(np.int64), minlength=len(block)))
+        items.append(whole & np.uint64((1 << 48) - 1))
+    return np.concatenate(items), np.concatenate([[0], np.cumsum(np.concatenate(sizes or [[]])).astype(np.int64)])
+
+
 def band_keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """(lines x bands) keys: ROWS minima under different orders of the shingles make one."""
     low, keys = (hashes >> np.uint64(32)).astype(np.uint32), []
@@ -104,29 +118,22 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 keys = np.concatenate([band_keys(*_shingles(block, shingle)) for block in _blocks(lines)])
                 yield blob_batch(list(key_blobs(np.repeat(ids, BANDS), keys.reshape(-1), parts, turn + int(ids[0]))))
 
-    def load(table: np.ndarray, sketch: bool = False) -> DataFrame:
-        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(table: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 ids, lines = distinct(batch)
                 at = np.flatnonzero(bit_hits(table, ids.view(np.uint64))) if len(ids) else ids
-                if not len(at):
-                    continue
-                sets = []
-                for block in _blocks([lines[k] for k in at]):
-                    hashes, begin = _shingles(block, shingle)
-                    sets.extend(np.unique(s) for s in np.split(hashes, begin[1:]))
-                if sketch:
-                    bits = [parity_sketch(s) for s in sets]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[at]), pa.array([len(s) for s in sets], pa.int64()), pa.array(bits, pa.binary()),
-                         pa.array([short_sketch(b) for b in bits], pa.binary())], names=["id", "n", "sketch", "short"])
-                else:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "items"])
-
-        return named.mapInArrow(pick, "id bigint, n bigint, sketch binary, short binary" if sketch else "id bigint, items binary").dropDuplicates(["id"])
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([lines[k] for k in at], pa.string())], names=["id", "payload"])
+
+        return run
 
     members = materialise(shared_keys(named.mapInArrow(emit, KEY_BLOB), parts), "members")
-    labels = link_components(members, lambda table: load(table, sketch=True), load, percent, filter_bits)
+    ids = materialise(members.select("id").distinct(), "ids")
+    found = named.mapInArrow(pick(ids_table(ids, filter_bits)), "id bigint, payload string")
+    payloads = found.dropDuplicates(["id"]).join(ids, "id")
+    forest = linked_forest(members, payloads, lambda lines: line_sets(lines.to_pylist(), shingle), percent)
+    labels = materialise(components(materialise(forest, "forests")), "components")
     seen = materialise(named.mapInArrow(places, "line bigint, id bigint, k bigint"), "lines")
     first = seen.groupBy("line").agg(F.min(F.struct("id", "k")).alias("first"), F.count("*").alias("n"))
     first = first.join(labels.withColumnRenamed("id", "line"), "line", "left")
