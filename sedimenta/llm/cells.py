@@ -1,9 +1,14 @@
-"""Pairs of a group's members inside one task, found by array operations, and the forest of those that are linked.
+"""Similarity links between sets that share a key, without pairs that leave the task they meet in.
 
 Rows of groups (a key and the ids that hold it) are dealt to cells: groups with the same least id share
 one, so that a set of near copies which meets under many keys meets in one place; a group of more than BLOCK rows is
-cut into blocks, and every two of its blocks are a cell. A task then joins each member with the first of its
-group, and compares only members that are in different trees after that. What leaves a task is a forest.
+cut into blocks, and every two of its blocks are a cell.
+
+Two passes over the cells follow. In the first, members carry a bit sketch, and a task tells which of them may have a
+linked partner: the first of each group is compared with all others, then whoever has no partner yet with everybody. In the second
+only those members are left and carry their sets. A task joins each with the first of its group where they are linked,
+then compares members that are in different trees still. What leaves it is a forest; no link between components is lost,
+no pair is written, and a set of near copies costs as many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -15,19 +20,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm.graph import components
 from sedimenta.session import materialise
 
-#: Rows of a group that meet in one cell, rows of a task, and rows of a cell beyond which its keys are dealt out.
-BLOCK, TASK_ROWS, CELL_ROWS = 1_024, 40_000, 16_384
-#: Pairs that are looked at together, and bytes of a member's bit sketch.
-PAIRS, SKETCH = 200_000, 64
+#: Rows of a group that meet in one cell, rows of a cell beyond which its keys are dealt out, bytes a task is to carry.
+BLOCK, CELL_ROWS, TASK_BYTES = 1_024, 16_384, 12_000_000
+#: Bytes of a row without what it carries.
+_ROW_BYTES = 60
+#: Pairs whose sizes are compared together, and bytes of sketches.
+PAIRS, SKETCH_BYTES = 200_000, 16_000_000
 
 #: The sorted distinct items of all members, 48 bits each, and the n + 1 places where each one's begin.
 Sets = tuple[np.ndarray, np.ndarray]
 
 
-def dealt(members: DataFrame) -> DataFrame:
-    """``members`` (key, id, more) as rows of cells, with task, cell, block, low and high.
+def dealt(members: DataFrame, carried: int) -> DataFrame:
+    """``members`` (key, id) as rows of cells, with task, cell, block, low and high, for members that carry so many bytes.
 
     Of keys that exactly the same ids hold one is enough.
     """
@@ -44,7 +52,7 @@ def dealt(members: DataFrame) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     rows = rows.withColumn("cell", F.xxhash64("first", "share", "blocks", "low", "high"))
-    task = F.pmod(F.xxhash64("cell"), F.lit(1 + total // TASK_ROWS))
+    task = F.pmod(F.xxhash64("cell"), F.lit(1 + total * (_ROW_BYTES + carried) // TASK_BYTES))
     return rows.withColumn("task", task).drop("first", "m", "share", "blocks", "other")
 
 
@@ -117,28 +125,67 @@ class Trees:
         return up
 
 
-def sketches(sets: Sets) -> np.ndarray:
-    """A parity sketch per member: its items toggle one bit of 512 each."""
+def parity_sketch(items: np.ndarray) -> bytes:
+    """A bit sketch of a set: every item toggles one bit of 2 to 4 bits an item (64 at least).
+
+    Items that two sets share cancel out, so the Hamming distance of two sketches is at most their symmetric
+    difference. Its size is a power of two; a larger sketch folds to a smaller one.
+    """
+    bits = max(64, 1 << (2 * len(items)).bit_length())
+    flips = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def parity_sketches(sets: Sets) -> list[bytes]:
+    """The sketches of many sets."""
     items, begin = sets
-    n = len(begin) - 1
-    out = np.zeros((n, SKETCH // 8), dtype=np.uint64)
-    bit = (items & np.uint64(8 * SKETCH - 1)).astype(np.int64)
-    for a in range(0, n, 2_048):
-        b = min(a + 2_048, n)
-        row = np.repeat(np.arange(b - a), np.diff(begin[a:b + 1]))
-        flips = np.bincount(row * (8 * SKETCH) + bit[begin[a]:begin[b]], minlength=(b - a) * 8 * SKETCH) & 1
-        out[a:b] = np.packbits(flips.astype(np.uint8)).reshape(b - a, SKETCH).view(np.uint64)
+    sizes = np.diff(begin)
+    bits = np.maximum(64, 2 ** np.array([int(n).bit_length() + 1 if n else 0 for n in sizes.tolist()], dtype=np.int64))
+    out: list[bytes] = [b""] * len(sizes)
+    for width in np.unique(bits).tolist():
+        rows = np.flatnonzero(bits == width)
+        for part in np.array_split(rows, 1 + len(rows) * width // 8_000_000):
+            at = np.repeat(np.arange(len(part)), sizes[part]) * width
+            flips = np.bincount(at + (_gather(items, begin, part) & np.uint64(width - 1)).astype(np.int64), minlength=len(part) * width) & 1
+            whole = np.packbits(flips.astype(np.uint8)).tobytes()
+            for k, row in enumerate(part.tolist()):
+                out[row] = whole[k * width // 8:(k + 1) * width // 8]
     return out
 
 
-def may_link(i: np.ndarray, j: np.ndarray, sizes: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and sketches allow a link; no linked pair is refused."""
-    n, m = sizes[i], sizes[j]
-    fits = np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-    apart = np.bitwise_count(bits[i[fits]] ^ bits[j[fits]]).sum(axis=1)
-    keep = np.zeros(len(i), dtype=bool)
-    keep[fits] = apart <= (n[fits] + m[fits]) * (100 - percent) // (100 + percent)
-    return keep
+class Sketches:
+    """The sketches and sizes of a task's members; ``may_link`` refuses no linked pair."""
+
+    def __init__(self, sizes: np.ndarray, sketches: list[bytes], percent: int):
+        self.sizes, self.percent = sizes, percent
+        self.width = np.array([len(s) for s in sketches], dtype=np.int64)
+        self._rows: dict[int, np.ndarray] = {}  # per width the sketches of at least that width, folded to it
+        self._at: dict[int, np.ndarray] = {}
+        wider = np.empty((0, 0), dtype=np.uint64)
+        for width in sorted(set(self.width.tolist()), reverse=True):
+            own = np.flatnonzero(self.width == width)
+            fresh = np.frombuffer(b"".join(sketches[k] for k in own.tolist()), dtype=np.uint64).reshape(len(own), -1)
+            if len(wider):
+                wider = np.bitwise_xor.reduce(wider.reshape(len(wider), -1, width // 8), axis=1)
+                fresh = np.concatenate([wider, fresh])
+            order = np.concatenate([known, own]) if len(wider) else own
+            at = np.full(len(sizes), -1, dtype=np.int64)
+            at[order] = np.arange(len(order))
+            self._rows[width], self._at[width] = fresh, at
+            wider, known = fresh, order
+
+    def may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        n, m = self.sizes[i], self.sizes[j]
+        fits = np.flatnonzero(100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
+        most = (n[fits] + m[fits]) * (100 - self.percent) // (100 + self.percent)
+        narrow = np.minimum(self.width[i[fits]], self.width[j[fits]])
+        keep = np.zeros(len(i), dtype=bool)
+        for width in np.unique(narrow).tolist():
+            of, rows, at = np.flatnonzero(narrow == width), self._rows[width], self._at[width]
+            for part in np.array_split(of, 1 + len(of) * width // SKETCH_BYTES):
+                x, y = at[i[fits[part]]], at[j[fits[part]]]
+                keep[fits[part]] = np.bitwise_count(rows[x] ^ rows[y]).sum(axis=1) <= most[part]
+        return keep
 
 
 def are_linked(i: np.ndarray, j: np.ndarray, sets: Sets, percent: int) -> np.ndarray:
@@ -163,45 +210,93 @@ def _gather(items: np.ndarray, begin: np.ndarray, rows: np.ndarray) -> np.ndarra
     return items[np.repeat(begin[rows], count) + within]
 
 
-def _join_linked(trees: Trees, i: np.ndarray, j: np.ndarray, sets: Sets, bits: np.ndarray, percent: int) -> None:
+def _join_linked(trees: Trees, i: np.ndarray, j: np.ndarray, sets: Sets, sketches: Sketches) -> None:
     """Unite the linked ones of the pairs; a pair whose trees have met meanwhile is not checked."""
     sizes = np.diff(sets[1])
     code = np.unique(np.minimum(i, j) * np.int64(len(sizes)) + np.maximum(i, j))
     i, j = code // len(sizes), code % len(sizes)
-    keep = may_link(i, j, sizes, bits, percent)
+    keep = sketches.may_link(i, j)
     i, j = i[keep], j[keep]
     # By the items they hold; a portion has at most 65,536 members, whose number fits beside 48 bits.
-    portion = np.cumsum(np.minimum(sizes[i], sizes[j]) + 100) // 2_000_000
+    portion = np.cumsum(sizes[i] + sizes[j] + 100) // 2_000_000
     for part in np.split(np.arange(len(i)), np.flatnonzero(np.diff(portion)) + 1):
         labels = trees.roots()
         part = part[labels[i[part]] != labels[j[part]]]
         if len(part):
-            linked = are_linked(i[part], j[part], sets, percent)
+            linked = are_linked(i[part], j[part], sets, sketches.percent)
             for a, b in zip(i[part][linked].tolist(), j[part][linked].tolist(), strict=True):
                 trees.join(a, b)
 
 
-def linked_forest(members: DataFrame, payloads: DataFrame, build: Callable[[pa.Array], Sets], percent: int) -> DataFrame:
-    """(a, b): a spanning forest, task by task, of the members that share a key and are similar enough, exactly.
+def _carrying(rows: DataFrame, payloads: DataFrame) -> DataFrame:
+    """What the members of each task carry: every member once, however many rows it has there."""
+    tasks = rows.select(F.col("task").alias("to"), "id").distinct()
+    return tasks.join(payloads, "id").select("to", F.col("id").alias("member"), *[c for c in payloads.columns if c != "id"])
+
+
+def _members(rows: pa.Table, held: pa.Table) -> tuple[pa.Table, np.ndarray, Rows, np.ndarray]:
+    """What a task's members carry, by id; the ids; the rows; and the number of each row's member."""
+    held = held.sort_by("member").combine_chunks()
+    ids = np.asarray(held.column("member"))
+    placed = Rows(rows)
+    return held, ids, placed, np.searchsorted(ids, placed.ids)
 
-    ``payloads`` has one (id, payload) of every member; ``build`` makes the sets of a task's payloads. A payload
-    travels once to each task that its id has a row in.
-    """
-    rows = materialise(dealt(members), "cells")
-    carried = rows.select(F.col("task").alias("to"), "id").distinct().join(payloads, "id").select("to", F.col("id").alias("member"), "payload")
+
+def _with_partners(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(id) of the members that sizes and sketches allow a linked partner in one of their groups."""
 
     def run(rows: pa.Table, held: pa.Table) -> pa.Table:
-        held = held.sort_by("member")
-        ids = np.asarray(held.column("member"))
+        held, ids, placed, who = _members(rows, held)
+        known = Sketches(np.asarray(held.column("n")), held.column("sketch").to_pylist(), percent)
+        found = np.zeros(len(ids), dtype=bool)
+
+        def look(i: np.ndarray, j: np.ndarray) -> None:
+            open_ = ~(found[i] & found[j]) & (i != j)
+            i, j = i[open_], j[open_]
+            near = known.may_link(i, j)
+            found[i[near]] = found[j[near]] = True
+
+        i, j = placed.leaders()
+        look(who[i], who[j])
+        # Members that have a partner need not meet one another, so they are all alike.
+        for i, j in placed.pairs(np.where(found, -1, np.arange(len(ids)))[who]):
+            look(who[i], who[j])
+        return pa.table({"id": ids[found]})
+
+    rows = materialise(dealt(members, 100), "cells")
+    carried = _carrying(rows, sketches)
+    return rows.groupBy("task").cogroup(carried.groupBy("to")).applyInArrow(run, "id bigint").distinct()
+
+
+def _forest(members: DataFrame, payloads: DataFrame, build: Callable[[pa.Array], Sets], percent: int, carried: int) -> DataFrame:
+    def run(rows: pa.Table, held: pa.Table) -> pa.Table:
+        held, ids, placed, who = _members(rows, held)
         sets = build(held.column("payload").combine_chunks())
-        bits, trees, placed = sketches(sets), Trees(len(ids)), Rows(rows)
-        who = np.searchsorted(ids, placed.ids)
+        sketches, trees = Sketches(np.diff(sets[1]), parity_sketches(sets), percent), Trees(len(ids))
         i, j = placed.leaders()
-        _join_linked(trees, who[i], who[j], sets, bits, percent)
+        _join_linked(trees, who[i], who[j], sets, sketches)
         for i, j in placed.pairs(trees.roots()[who]):
-            _join_linked(trees, who[i], who[j], sets, bits, percent)
+            _join_linked(trees, who[i], who[j], sets, sketches)
         roots = trees.roots()
         child = np.flatnonzero(roots != np.arange(len(roots)))
         return pa.table({"a": ids[child], "b": ids[roots[child]]})
 
-    return rows.groupBy("task").cogroup(carried.groupBy("to")).applyInArrow(run, "a bigint, b bigint")
+    rows = materialise(dealt(members, carried), "cells")
+    return rows.groupBy("task").cogroup(_carrying(rows, payloads).groupBy("to")).applyInArrow(run, "a bigint, b bigint")
+
+
+def link_components(
+    members: DataFrame, sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], build: Callable[[pa.Array], Sets], percent: int,
+) -> DataFrame:
+    """(id, component) of all ids that have a link; ids without one are absent.
+
+    ``members`` are (key, id) such that linked ids share a key, ``sketches`` has one (id, n, sketch) of each. ``payloads`` gives one
+    (id, payload) of the ids it is asked for, ``build`` makes sets of a task's payloads. Two sets are linked when
+    100 * intersection >= ``percent`` * union, exactly.
+    """
+    open_ = materialise(_with_partners(members, sketches, percent), "open")
+    rest = materialise(members.join(open_, "id").select("key", "id"), "members")
+    held = materialise(payloads(open_), "payloads")
+    size = held.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
+    forest = materialise(_forest(rest, held, build, percent, int(size)), "forests")
+    return materialise(components(forest), "components")

@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.cells import Sets, linked_forest
-from sedimenta.llm.graph import components
+from sedimenta.llm.cells import Sets, link_components, parity_sketches
 from sedimenta.llm.hashing import mix, rolling, slices
 from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, bit_hits, blob_batch, ids_table, key_blobs, shared_keys
 from sedimenta.session import materialise
@@ -118,25 +117,36 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 keys = np.concatenate([band_keys(*_shingles(block, shingle)) for block in _blocks(lines)])
                 yield blob_batch(list(key_blobs(np.repeat(ids, BANDS), keys.reshape(-1), parts, turn + int(ids[0]))))
 
-    def pick(table: np.ndarray):
+    def pick(table: np.ndarray, sketch: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 ids, lines = distinct(batch)
                 at = np.flatnonzero(bit_hits(table, ids.view(np.uint64))) if len(ids) else ids
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([lines[k] for k in at], pa.string())], names=["id", "payload"])
+                if not len(at):
+                    continue
+                chosen = [lines[k] for k in at]
+                if sketch:
+                    sets = line_sets(chosen, shingle)
+                    more = {"n": pa.array(np.diff(sets[1])), "sketch": pa.array(parity_sketches(sets), pa.binary())}
+                else:
+                    more = {"payload": pa.array(chosen, pa.string())}
+                yield pa.RecordBatch.from_pydict({"id": pa.array(ids[at])} | more)
 
         return run
 
+    def picked(ids: DataFrame, sketch: bool = False) -> DataFrame:
+        schema = "id bigint, n bigint, sketch binary" if sketch else "id bigint, payload string"
+        found = named.mapInArrow(pick(ids_table(ids, filter_bits), sketch), schema)
+        return found.join(ids, "id").dropDuplicates(["id"])
+
     members = materialise(shared_keys(named.mapInArrow(emit, KEY_BLOB), parts), "members")
     ids = materialise(members.select("id").distinct(), "ids")
-    found = named.mapInArrow(pick(ids_table(ids, filter_bits)), "id bigint, payload string")
-    payloads = found.dropDuplicates(["id"]).join(ids, "id")
-    forest = linked_forest(members, payloads, lambda lines: line_sets(lines.to_pylist(), shingle), percent)
-    labels = materialise(components(materialise(forest, "forests")), "components")
+    sketches = materialise(picked(ids, sketch=True), "sketches")
+    labels = link_components(members, sketches, picked, lambda lines: line_sets(lines.to_pylist(), shingle), percent)
     seen = materialise(named.mapInArrow(places, "line bigint, id bigint, k bigint"), "lines")
     first = seen.groupBy("line").agg(F.min(F.struct("id", "k")).alias("first"), F.count("*").alias("n"))
-    first = first.join(labels.withColumnRenamed("id", "line"), "line", "left")
+    # Lines that occur once and resemble no other are done with.
+    first = first.join(labels.withColumnRenamed("id", "line"), "line", "left").where("n > 1 or component is not null")
     first = materialise(first.select("line", "first", "n", F.coalesce("component", "line").alias("component")), "firsts")
     stay = first.groupBy("component").agg(F.min("first").alias("stay"), F.sum("n").alias("all")).where("all > 1")
     stay = materialise(first.join(stay, "component").select("line", "stay"), "stays")
