@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm.cells import Sets, link_components, parity_sketch
 from sedimenta.llm.hashing import buffer_of, mix, shingle_sets, slices, words
-from sedimenta.llm.links import (
-    GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, key_blobs, link_components, parity_sketch, shared_keys, short_sketch)
+from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, ids_table, key_blobs, shared_keys
 from sedimenta.session import materialise
 
 #: Shingles per sketch word at the upper end of a band. The fewer, the more words there are to choose rare ones from.
 _LOAD = 1.25
+#: Bits of a shingle's hash that the exact check does without: it compares 48.
+_SPARE = np.uint64(16)
 #: Documents per sampled document for the estimate of frequent shingles, and the count that marks one.
 _SAMPLE, _FREQUENT = 64, 3
 
@@ -86,14 +88,13 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         for batch in slices(batches):
             hashes, offsets = words(*buffer_of(batch.column("text")), lower=True)
             sets = shingle_sets(hashes, offsets, k)
-            sketches = [parity_sketch(s) for s in sets]
+            sketches = [parity_sketch(s >> _SPARE) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                 pa.array(sketches, pa.binary()), pa.array([short_sketch(s) for s in sketches], pa.binary())],
-                names=["id", "n", "mark", "sketch", "short"])
+                 pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()), pa.array(sketches, pa.binary())],
+                names=["id", "n", "mark", "sketch"])
 
-    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary, sketch binary, short binary"), "profile")
+    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary, sketch binary"), "profile")
     whole = profile.where("id is not null and n > 0")
     classes = materialise(whole.groupBy("mark").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     entries = classes.agg(F.sum("n")).first()[0] or 0
@@ -125,20 +126,29 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = materialise(members, "members")
     two = members.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
 
-    def load(table: np.ndarray) -> DataFrame:
-        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(table: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = np.asarray(batch.column("id")).astype(np.int64)
                 batch = batch.filter(pa.array(bit_hits(table, ids.view(np.uint64))))
                 for piece in slices([batch]):
                     ids, sets = _sets(piece, k)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "items"])
+                        [pa.array(ids), pa.array([(s >> _SPARE).tobytes() for s in sets], pa.binary())], names=["id", "payload"])
 
-        return named.mapInArrow(pick, "id bigint, items binary")
+        return run
 
-    members = members.join(materialise(two, "keys"), "key")
-    labels = link_components(members, lambda _: whole.select("id", "n", "sketch", "short"), load, percent, filter_bits)
+    def picked(ids: DataFrame) -> DataFrame:
+        found = named.mapInArrow(pick(ids_table(ids, filter_bits)), "id bigint, payload binary")
+        return found.join(ids, "id").dropDuplicates(["id"])
+
+    def build(payloads: pa.Array) -> Sets:
+        data, offsets = buffer_of(payloads)
+        return np.frombuffer(data.tobytes(), dtype=np.uint64), offsets // 8
+
+    members = materialise(members.join(materialise(two, "keys"), "key"), "members")
+    sketches = whole.select("id", "n", "sketch").join(members.select("id").distinct(), "id").dropDuplicates(["id"])
+    labels = link_components(members, materialise(sketches, "sketches"), picked, build, percent)
     found = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("mark", F.coalesce("component", "rep").alias("component"))
     linked = whole.join(materialise(found, "classes"), "mark").select("id", "n", "component")
     alone = profile.where("id is null or n = 0").select("id", "n", F.col("id").alias("component"))
