@@ -21,52 +21,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.graph import components
-from sedimenta.session import materialise
+from sedimenta.llm.memory import give_back
+from sedimenta.session import discard, materialise
 
-#: Rows of a group that meet in one cell, rows of a cell beyond which its keys are dealt out, bytes a task is to carry.
-BLOCK, CELL_ROWS, TASK_BYTES = 1_024, 16_384, 12_000_000
-#: Bytes of a row without what it carries.
-_ROW_BYTES = 60
-#: Pairs whose sizes are compared together, and bytes of sketches.
-PAIRS, SKETCH_BYTES = 200_000, 16_000_000
+#: Rows of a group that meet in one cell, and bytes they carry; rows of a cell beyond which its keys are dealt out.
+BLOCK, BLOCK_BYTES, CELL_ROWS = 1_024, 4_000_000, 16_384
+#: Bytes a task is to read, and of a row without what it carries.
+TASK_BYTES, _ROW_BYTES = 8_000_000, 40
+#: Pairs whose sizes are compared together, bytes of sketches, and items of sets.
+PAIRS, SKETCH_BYTES, ITEMS = 200_000, 8_000_000, 1_000_000
 
 #: The sorted distinct items of all members, 48 bits each, and the n + 1 places where each one's begin.
 Sets = tuple[np.ndarray, np.ndarray]
 
 
-def dealt(members: DataFrame, carried: int) -> DataFrame:
-    """``members`` (key, id) as rows of cells, with task, cell, block, low and high, for members that carry so many bytes.
+def dealt(members: DataFrame, carried: int, scratch: list[DataFrame]) -> DataFrame:
+    """``members`` (key, id, w) as rows (task, key, id, block, low, high); w is what an id carries, ``carried`` all of them, in bytes.
 
-    Of keys that exactly the same ids hold one is enough.
+    Of keys that exactly the same ids hold one is enough. Tables that are of no use later are noted in ``scratch``.
     """
-    held = members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("_who"))
-    one = held.groupBy("first", "m", "_who").agg(F.min("key").alias("key")).drop("_who")
+    held = members.groupBy("key").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("m"), F.sum("w").alias("w"), F.bit_xor(F.xxhash64("id")).alias("_who"))
+    one = held.groupBy("first", "m", "_who").agg(F.min("key").alias("key"), F.max("w").alias("w")).drop("_who")
     one = materialise(one, "groups")
+    scratch.append(one)
     total = one.agg(F.sum("m")).first()[0] or 0
     per_first = one.groupBy("first").agg(F.sum("m").alias("_all"))
     shares = F.greatest(F.lit(1), F.ceil(F.col("_all") / CELL_ROWS)).cast("bigint")
     one = one.join(per_first, "first").withColumn("share", F.pmod(F.xxhash64("key"), shares)).drop("_all")
-    rows = members.join(one, "key")
-    blocks = F.pow(2, F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("m") / BLOCK)))).cast("bigint")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = members.drop("w").join(one, "key")
+    fill = F.least(F.greatest(F.lit(1.0), F.col("m") / BLOCK, F.col("w") / BLOCK_BYTES), F.col("m"))
+    rows = rows.withColumn("blocks", F.pow(2, F.ceil(F.log2(fill))).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    rows = rows.withColumn("cell", F.xxhash64("first", "share", "blocks", "low", "high"))
-    task = F.pmod(F.xxhash64("cell"), F.lit(1 + total * (_ROW_BYTES + carried) // TASK_BYTES))
-    return rows.withColumn("task", task).drop("first", "m", "share", "blocks", "other")
+    # Most members are carried to a few tasks.
+    tasks = 1 + (total * _ROW_BYTES + 3 * carried) // TASK_BYTES
+    cell = F.xxhash64("first", "share", "blocks", "low", "high")
+    rows = rows.select(F.pmod(cell, F.lit(tasks)).cast("int").alias("task"), "key", "id", "block", "low", "high")
+    rows = materialise(rows, "cells")
+    scratch.append(rows)
+    return rows
 
 
 class Rows:
     """The rows of one task in order, each with the range of rows it is to be paired with."""
 
     def __init__(self, table: pa.Table):
-        cell, key, block, low, high, ids = (np.asarray(table.column(c)) for c in ("cell", "key", "block", "low", "high", "id"))
-        order = np.lexsort((ids, block, key, cell))
-        cell, key, block, low, high = (a[order] for a in (cell, key, block, low, high))
+        key, block, low, high, ids = (np.asarray(table.column(c)) for c in ("key", "block", "low", "high", "id"))
+        order = np.lexsort((ids, block, high, low, key))
+        key, block, low, high = (a[order] for a in (key, block, low, high))
         self.order, self.ids = order, ids[order]
         n = len(order)
         fresh = np.ones(n, dtype=bool)
-        fresh[1:] = (cell[1:] != cell[:-1]) | (key[1:] != key[:-1])
+        fresh[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         self.starts = np.flatnonzero(fresh)
         sizes = np.diff(np.append(self.starts, n))
         self.start, self.end = np.repeat(self.starts, sizes), np.repeat(self.starts + sizes, sizes)
@@ -144,7 +152,7 @@ def parity_sketches(sets: Sets) -> list[bytes]:
     out: list[bytes] = [b""] * len(sizes)
     for width in np.unique(bits).tolist():
         rows = np.flatnonzero(bits == width)
-        for part in np.array_split(rows, 1 + len(rows) * width // 8_000_000):
+        for part in np.array_split(rows, 1 + len(rows) * width // SKETCH_BYTES):
             at = np.repeat(np.arange(len(part)), sizes[part]) * width
             flips = np.bincount(at + (_gather(items, begin, part) & np.uint64(width - 1)).astype(np.int64), minlength=len(part) * width) & 1
             whole = np.packbits(flips.astype(np.uint8)).tobytes()
@@ -218,7 +226,7 @@ def _join_linked(trees: Trees, i: np.ndarray, j: np.ndarray, sets: Sets, sketche
     keep = sketches.may_link(i, j)
     i, j = i[keep], j[keep]
     # By the items they hold; a portion has at most 65,536 members, whose number fits beside 48 bits.
-    portion = np.cumsum(sizes[i] + sizes[j] + 100) // 2_000_000
+    portion = np.cumsum(sizes[i] + sizes[j] + 100) // ITEMS
     for part in np.split(np.arange(len(i)), np.flatnonzero(np.diff(portion)) + 1):
         labels = trees.roots()
         part = part[labels[i[part]] != labels[j[part]]]
@@ -236,13 +244,22 @@ def _carrying(rows: DataFrame, payloads: DataFrame) -> DataFrame:
 
 def _members(rows: pa.Table, held: pa.Table) -> tuple[pa.Table, np.ndarray, Rows, np.ndarray]:
     """What a task's members carry, by id; the ids; the rows; and the number of each row's member."""
-    held = held.sort_by("member").combine_chunks()
+    held = held.sort_by("member")
     ids = np.asarray(held.column("member"))
     placed = Rows(rows)
     return held, ids, placed, np.searchsorted(ids, placed.ids)
 
 
-def _with_partners(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _freeing(run: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def freed(rows: pa.Table, held: pa.Table) -> pa.Table:
+        out = run(rows, held)
+        give_back()
+        return out
+
+    return freed
+
+
+def _with_partners(members: DataFrame, sketches: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
     """(id) of the members that sizes and sketches allow a linked partner in one of their groups."""
 
     def run(rows: pa.Table, held: pa.Table) -> pa.Table:
@@ -263,12 +280,13 @@ def _with_partners(members: DataFrame, sketches: DataFrame, percent: int) -> Dat
             look(who[i], who[j])
         return pa.table({"id": ids[found]})
 
-    rows = materialise(dealt(members, 100), "cells")
+    size = sketches.agg(F.sum(F.octet_length("sketch"))).first()[0] or 0
+    rows = dealt(members.withColumn("w", F.lit(0)), size, scratch)
     carried = _carrying(rows, sketches)
-    return rows.groupBy("task").cogroup(carried.groupBy("to")).applyInArrow(run, "id bigint").distinct()
+    return rows.groupBy("task").cogroup(carried.groupBy("to")).applyInArrow(_freeing(run), "id bigint").distinct()
 
 
-def _forest(members: DataFrame, payloads: DataFrame, build: Callable[[pa.Array], Sets], percent: int, carried: int) -> DataFrame:
+def _forest(members: DataFrame, payloads: DataFrame, build: Callable[[pa.Array], Sets], percent: int, scratch: list[DataFrame]) -> DataFrame:
     def run(rows: pa.Table, held: pa.Table) -> pa.Table:
         held, ids, placed, who = _members(rows, held)
         sets = build(held.column("payload").combine_chunks())
@@ -281,8 +299,9 @@ def _forest(members: DataFrame, payloads: DataFrame, build: Callable[[pa.Array],
         child = np.flatnonzero(roots != np.arange(len(roots)))
         return pa.table({"a": ids[child], "b": ids[roots[child]]})
 
-    rows = materialise(dealt(members, carried), "cells")
-    return rows.groupBy("task").cogroup(_carrying(rows, payloads).groupBy("to")).applyInArrow(run, "a bigint, b bigint")
+    size = payloads.select("id", F.octet_length("payload").alias("w"))
+    rows = dealt(members.join(size, "id"), size.agg(F.sum("w")).first()[0] or 0, scratch)
+    return rows.groupBy("task").cogroup(_carrying(rows, payloads).groupBy("to")).applyInArrow(_freeing(run), "a bigint, b bigint")
 
 
 def link_components(
@@ -294,9 +313,19 @@ def link_components(
     (id, payload) of the ids it is asked for, ``build`` makes sets of a task's payloads. Two sets are linked when
     100 * intersection >= ``percent`` * union, exactly.
     """
-    open_ = materialise(_with_partners(members, sketches, percent), "open")
+    scratch: list[DataFrame] = []
+    open_ = materialise(_with_partners(members, sketches, percent, scratch), "open")
+    _clear(scratch)
     rest = materialise(members.join(open_, "id").select("key", "id"), "members")
     held = materialise(payloads(open_), "payloads")
-    size = held.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
-    forest = materialise(_forest(rest, held, build, percent, int(size)), "forests")
-    return materialise(components(forest), "components")
+    forest = materialise(_forest(rest, held, build, percent, scratch), "forests")
+    _clear([*scratch, open_, rest, held])
+    labels = materialise(components(forest), "components")
+    discard(forest)
+    return labels
+
+
+def _clear(scratch: list[DataFrame]) -> None:
+    for table in scratch:
+        discard(table)
+    scratch.clear()

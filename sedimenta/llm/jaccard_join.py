@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.cells import Sets, link_components, parity_sketch
 from sedimenta.llm.hashing import buffer_of, mix, shingle_sets, slices, words
 from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, bit_hits, bit_place, bit_table, blob_batch, ids_table, key_blobs, shared_keys
-from sedimenta.session import materialise
+from sedimenta.llm.memory import giving_back
+from sedimenta.session import discard, materialise
 
 #: Shingles per sketch word at the upper end of a band. The fewer, the more words there are to choose rare ones from.
 _LOAD = 1.25
@@ -94,7 +95,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                  pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()), pa.array(sketches, pa.binary())],
                 names=["id", "n", "mark", "sketch"])
 
-    profile = materialise(rows.mapInArrow(describe, "id bigint, n bigint, mark binary, sketch binary"), "profile")
+    profile = materialise(rows.mapInArrow(giving_back(describe), "id bigint, n bigint, mark binary, sketch binary"), "profile")
     whole = profile.where("id is not null and n > 0")
     classes = materialise(whole.groupBy("mark").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
     entries = classes.agg(F.sum("n")).first()[0] or 0
@@ -121,7 +122,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     # A copy that stood first in its slice stands for its class from here on.
     reps = whole.select("id", "mark").join(classes.select("mark", "rep"), "mark").select("id", "rep")
-    members = shared_keys(named.mapInArrow(emit, KEY_BLOB), parts)
+    members = shared_keys(named.mapInArrow(giving_back(emit), KEY_BLOB), parts)
     members = members.join(materialise(reps, "reps"), "id").select("key", F.col("rep").alias("id")).distinct()
     members = materialise(members, "members")
     two = members.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
@@ -136,7 +137,7 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids), pa.array([(s >> _SPARE).tobytes() for s in sets], pa.binary())], names=["id", "payload"])
 
-        return run
+        return giving_back(run)
 
     def picked(ids: DataFrame) -> DataFrame:
         found = named.mapInArrow(pick(ids_table(ids, filter_bits)), "id bigint, payload binary")
@@ -144,9 +145,10 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     def build(payloads: pa.Array) -> Sets:
         data, offsets = buffer_of(payloads)
-        return np.frombuffer(data.tobytes(), dtype=np.uint64), offsets // 8
+        return data.view(np.uint64), offsets // 8
 
-    members = materialise(members.join(materialise(two, "keys"), "key"), "members")
+    every, members = members, materialise(members.join(materialise(two, "keys"), "key"), "members")
+    discard(every)
     sketches = whole.select("id", "n", "sketch").join(members.select("id").distinct(), "id").dropDuplicates(["id"])
     labels = link_components(members, materialise(sketches, "sketches"), picked, build, percent)
     found = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("mark", F.coalesce("component", "rep").alias("component"))

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.cells import Sets, link_components, parity_sketches
 from sedimenta.llm.hashing import mix, rolling, slices
 from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, bit_hits, blob_batch, ids_table, key_blobs, shared_keys
-from sedimenta.session import materialise
+from sedimenta.llm.memory import giving_back
+from sedimenta.session import discard, materialise
 
 #: Bands and rows: at a similarity of 0.75 a pair is missed once in 95, at 0.8 once in 560, whatever the shingles.
 BANDS, ROWS = 12, 4
@@ -132,17 +133,18 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     more = {"payload": pa.array(chosen, pa.string())}
                 yield pa.RecordBatch.from_pydict({"id": pa.array(ids[at])} | more)
 
-        return run
+        return giving_back(run)
 
     def picked(ids: DataFrame, sketch: bool = False) -> DataFrame:
         schema = "id bigint, n bigint, sketch binary" if sketch else "id bigint, payload string"
-        found = named.mapInArrow(pick(ids_table(ids, filter_bits), sketch), schema)
-        return found.join(ids, "id").dropDuplicates(["id"])
+        # The table lets some other lines pass, which no row asks for.
+        return named.mapInArrow(pick(ids_table(ids, filter_bits), sketch), schema).dropDuplicates(["id"])
 
-    members = materialise(shared_keys(named.mapInArrow(emit, KEY_BLOB), parts), "members")
-    ids = materialise(members.select("id").distinct(), "ids")
-    sketches = materialise(picked(ids, sketch=True), "sketches")
+    members = materialise(shared_keys(named.mapInArrow(giving_back(emit), KEY_BLOB), parts), "members")
+    sketches = materialise(picked(members.select("id"), sketch=True), "sketches")
     labels = link_components(members, sketches, picked, lambda lines: line_sets(lines.to_pylist(), shingle), percent)
+    discard(members)
+    discard(sketches)
     seen = materialise(named.mapInArrow(places, "line bigint, id bigint, k bigint"), "lines")
     first = seen.groupBy("line").agg(F.min(F.struct("id", "k")).alias("first"), F.count("*").alias("n"))
     # Lines that occur once and resemble no other are done with.
