@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sedimenta.llm.hashing import mix, rolling, slices
+from sedimenta.llm.memory import giving_back
 from sedimenta.llm.tokens import TokenTable
 
 #: First code points of script ranges and the scripts (Unicode blocks; "" is any other).
@@ -95,7 +96,7 @@ def learn(docs: DataFrame, train: Column, *, text_col: str = "text", lang_col: s
                      pa.array([""] * len(at) + list(used)), pa.array([*table[at].tolist(), *used.values()], pa.int64())],
                     names=["lang", "bucket", "script", "n"])
 
-    counted = chosen.select("text", "lang").mapInArrow(count, "lang string, bucket bigint, script string, n bigint")
+    counted = chosen.select("text", "lang").mapInArrow(giving_back(count), "lang string, bucket bigint, script string, n bigint")
     counts, used = np.full((buckets, len(languages)), 0.5), {}
     for r in counted.groupBy("lang", "bucket", "script").agg(F.sum("n").alias("n")).collect():
         if r.bucket >= 0:
@@ -159,7 +160,7 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarr
         return labels
     # The others step together, word by word; the longest come first, so those still going are a prefix.
     size, start = lengths[mixed], offsets[:-1][mixed]
-    state, came = scores[start].copy(), np.zeros((len(scores), n_langs), dtype=np.int8)
+    state, came = scores[start].copy(), np.zeros((len(scores), n_langs), dtype=np.min_scalar_type(-n_langs))
     for t in range(1, int(size[0])):
         going = int(np.searchsorted(-size, -t, "left"))
         now = state[:going]
@@ -212,4 +213,4 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
                 names=[*batch.schema.names, "lang_pred", "lang_score", "n_letters", "spans"])
 
     schema = StructType(list(rows.schema)).add("lang_pred", "string").add("lang_score", "double").add("n_letters", "long").add("spans", "string")
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(giving_back(predict), schema)

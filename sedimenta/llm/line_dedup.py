@@ -145,7 +145,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     labels = link_components(members, sketches, picked, lambda lines: line_sets(lines.to_pylist(), shingle), percent)
     discard(members)
     discard(sketches)
-    seen = materialise(named.mapInArrow(places, "line bigint, id bigint, k bigint"), "lines")
+    seen = materialise(named.mapInArrow(giving_back(places), "line bigint, id bigint, k bigint"), "lines")
     first = seen.groupBy("line").agg(F.min(F.struct("id", "k")).alias("first"), F.count("*").alias("n"))
     # Lines that occur once and resemble no other are done with.
     first = first.join(labels.withColumnRenamed("id", "line"), "line", "left").where("n > 1 or component is not null")

@@ -1,29 +1,23 @@
-"""Similarity links between sets: shared keys, exact checks and components, without all pairs of a group.
+"""Keys that two or more ids hold, and bit tables of fixed size.
 
-A caller gives every set some 64-bit keys such that two linked sets share one. `shared_keys` finds the
-keys that two or more sets hold. `link_components` then checks pairs of sets that share a key: first
-each set against a leader of some of its groups, which joins groups of near copies; then every pair that
-shares a key and isn't in one component yet. What is left unchecked can't change a component.
+A caller gives every set some 64-bit keys such that two linked sets share one; `shared_keys` finds the
+keys that two or more sets hold. What shares a key is compared in `cells`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.graph import components
 from sedimenta.llm.hashing import mix
-from sedimenta.session import materialise
+from sedimenta.llm.memory import give_back
 
 #: Keys that meet in one group of `shared_keys`.
 GROUP_KEYS = 2_000_000
-#: Leaders that a set is compared with, round by round, before all remaining pairs are compared.
-PROBES = (4, 24)
 
 KEY_BLOB = "part int, blob binary"
 
@@ -101,8 +95,13 @@ def _meet_parts(table: pa.Table) -> int:
 
 def shared_keys(blobs: DataFrame, parts: int) -> DataFrame:
     """(key, id) of every key that at least two ids hold. ``blobs`` are rows of `key_blobs`."""
+    def meet(table: pa.Table) -> pa.Table:
+        out = _meet(table)
+        give_back()
+        return out
+
     grouped = blobs.withColumn("parts", F.lit(parts)).groupBy("part")
-    return grouped.applyInArrow(_meet, "key bigint, id bigint").distinct()
+    return grouped.applyInArrow(meet, "key bigint, id bigint").distinct()
 
 
 def bit_table(spark: SparkSession, values: DataFrame, bits: int) -> np.ndarray:
@@ -141,188 +140,3 @@ def ids_table(ids: DataFrame, bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
 
     return bit_table(ids.sparkSession, ids.select("id").mapInArrow(places, "at bigint"), bits)
-
-
-def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those ``pairs`` (a, b) whose ``sets`` (id, items: sorted 64-bit values) are similar enough, exactly:
-    100 * intersection >= percent * union."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left"), batch.column("right"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                if not len(small) or 100 * len(small) < percent * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left, right = sets.select(F.col("id").alias("a"), F.col("items").alias("left")), sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint")
-
-
-def parity_sketch(items: np.ndarray) -> bytes:
-    """A bit sketch of a set: every item toggles one bit of 2 to 4 bits an item (64 at least).
-
-    Items that two sets share cancel out, so the Hamming distance of two sketches is at most their symmetric
-    difference. Its size is a power of two; a larger sketch folds to a smaller one.
-    """
-    bits = max(64, 1 << (2 * len(items)).bit_length())
-    flips = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8)).tobytes()
-
-
-def short_sketch(sketch: bytes) -> bytes:
-    """The sketch folded to _SHORT bytes at most."""
-    return _fold(np.frombuffer(sketch, dtype=np.uint8), _SHORT).tobytes()
-
-
-def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
-    return np.bitwise_xor.reduce(sketch.reshape(-1, size)) if len(sketch) > size else sketch
-
-
-def near_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Those ``pairs`` (a, b) whose ``sketches`` (id, n, sketch) allow a link; no linked pair is lost."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            n, m = (np.asarray(batch.column(c)) for c in ("n", "m"))
-            most = (n + m) * (100 - percent) // (100 + percent)
-            sized = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-            for x, y, d, fits in zip(batch.column("left"), batch.column("right"), most.tolist(), sized.tolist(), strict=True):
-                if fits:
-                    x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in (x, y))
-                    size = min(len(x), len(y))
-                    fits = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum()) <= d
-                keep.append(fits)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = sketches.select(F.col("id").alias("a"), "n", F.col("sketch").alias("left"))
-    right = sketches.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "left", "right")
-    return joined.mapInArrow(check, "a bigint, b bigint").distinct()
-
-
-def _open_groups(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(key, id, label) of the keys whose ids aren't all in one component yet."""
-    if labels is None:
-        return members.withColumn("label", F.col("id"))
-    known = members.join(labels.withColumnRenamed("component", "label"), "id", "left")
-    known = materialise(known.select("key", "id", F.coalesce("label", "id").alias("label")), "members")
-    mixed = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    return materialise(known.join(mixed, "key"), "members")
-
-
-def _leader_pairs(groups: DataFrame, turn: int, probes: int) -> DataFrame:
-    """Each id with a leader of up to ``probes`` of its groups; leaders differ from group to group and turn to turn."""
-    fan = groups.select("key", "id", F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(probes)).alias("slot"))
-    chosen = fan.groupBy("id", "slot").agg(F.min(F.xxhash64("key")).alias("h"))
-    leader = groups.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id", F.lit(turn)), "id")).alias("l"))
-    leader = leader.select(F.xxhash64("key").alias("h"), F.col("l.id").alias("leader"))
-    return chosen.join(leader, "h").where("id <> leader").select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-
-
-#: Bytes of a sketch that travel with a group's rows, rows of a group that meet in one cell, rows of a task.
-_SHORT, _BLOCK, _TASK_ROWS = 64, 1024, 50_000
-
-
-def _test_cells(percent: int):
-    """Pairs of a group's ids whose short sketches and sizes allow a link, each once per task."""
-
-    def test(table: pa.Table) -> pa.Table:
-        cell, key, ids, labels, n, block, low, high = (
-            np.asarray(table.column(c)) for c in ("cell", "key", "id", "label", "n", "block", "low", "high"))
-        short = np.zeros((len(ids), _SHORT), dtype=np.uint8)
-        for width in (8, 16, 32, _SHORT):
-            at = np.flatnonzero(np.asarray(pc.binary_length(table.column("sketch"))) == width)
-            if len(at):
-                rows = np.frombuffer(b"".join(table.column("sketch").take(pa.array(at)).to_pylist()), dtype=np.uint8)
-                short[at, :width] = rows.reshape(-1, width)
-        width = np.asarray(pc.binary_length(table.column("sketch")))
-        order = np.lexsort((ids, key, cell))
-        cut = np.flatnonzero((np.diff(key[order]) != 0) | (np.diff(cell[order]) != 0)) + 1
-        found = []
-        for at in np.split(order, cut):
-            if not len(at) or (labels[at] == labels[at[0]]).all():
-                continue
-            size = int(width[at].min())
-            bits = short[at]
-            for w in np.unique(width[at]):  # fold the wider ones to the narrowest
-                wide = np.flatnonzero(width[at] == w)
-                if w > size:
-                    bits[wide, :size] = np.bitwise_xor.reduce(bits[wide, :w].reshape(len(wide), -1, size), axis=1)
-            bits = np.ascontiguousarray(bits[:, :size]).view(np.uint64)
-            i, j = low[at[0]], high[at[0]]
-            for x in range(len(at)) if i == j else np.flatnonzero(block[at] == i):
-                rest = np.arange(x + 1, len(at)) if i == j else np.flatnonzero(block[at] == j)
-                rest = rest[labels[at[rest]] != labels[at[x]]]
-                m = n[at[rest]]
-                fits = 100 * np.minimum(m, n[at[x]]) >= percent * np.maximum(m, n[at[x]])
-                rest, m = rest[fits], m[fits]
-                apart = np.bitwise_count(bits[rest] ^ bits[x]).sum(axis=1)
-                rest = rest[apart <= (m + n[at[x]]) * (100 - percent) // (100 + percent)]
-                if len(rest):
-                    pair = np.stack([np.full(len(rest), ids[at[x]]), ids[at[rest]]])
-                    found.append(np.stack([pair.min(axis=0), pair.max(axis=0)], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return test
-
-
-def _remaining_pairs(groups: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """All pairs that share a key, lie in different components and may be linked.
-
-    Pairs are tested where they meet and only near ones are emitted. Groups with the same smallest id, mostly
-    those of one set of near copies, meet in one task, so that a pair which shares many keys comes out once;
-    a group of over _BLOCK ids is cut into blocks and their pairs, so no task holds it all.
-    """
-    spread = groups.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("m"))
-    rows = groups.join(materialise(spread, "spread"), "key").join(sketches, "id")
-    blocks = F.pow(2, F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("m") / _BLOCK)))).cast("bigint")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    cell = F.xxhash64("first", "blocks", "low", "high")
-    rows = rows.select(cell.alias("cell"), "key", "id", "label", "n", "block", "low", "high", F.col("short").alias("sketch"))
-    tasks = 1 + groups.count() // _TASK_ROWS
-    rows = rows.withColumn("task", F.pmod(F.xxhash64("cell"), F.lit(tasks)))
-    return rows.groupBy("task").applyInArrow(_test_cells(percent), "a bigint, b bigint").distinct()
-
-
-def link_components(members: DataFrame, load_sketches: Callable[[np.ndarray], DataFrame],
-                    load_sets: Callable[[np.ndarray], DataFrame], percent: int, bits: int) -> DataFrame:
-    """(id, component) of all ids that have a link; ids without one are absent.
-
-    ``members`` are rows of `shared_keys`. ``load_sketches`` gives (id, n, sketch, short) and ``load_sets`` (id, items)
-    of at least the ids whose bit is set in the table they get. Linked ids share a
-    key, so comparing all ids of a key is enough; an id needn't be compared with ids of its own component.
-    """
-    members = materialise(members, "members")
-    ids = materialise(members.select("id").distinct(), "ids")
-    wanted = materialise(load_sketches(ids_table(ids, bits)).join(ids, "id").dropDuplicates(), "sketches")
-    short = wanted.select("id", "n", "short")
-    labels, checked = None, None
-    for turn, probes in enumerate([*PROBES, None]):
-        groups = _open_groups(members, labels)
-        if probes:
-            pairs = _leader_pairs(groups, turn, probes)
-        else:
-            pairs = _remaining_pairs(groups, short, percent)
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        checked = pairs if checked is None else checked.union(pairs)
-        near = materialise(near_pairs(pairs, wanted, percent), "near")
-        ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        found = materialise(linked_pairs(near, load_sets(ids_table(ids, bits)), percent).distinct(), "links")
-        known = found if labels is None else found.union(labels.toDF("a", "b"))
-        labels = materialise(components(known), "components")
-        members = groups.select("key", "id")
-    return labels

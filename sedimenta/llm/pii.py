@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sedimenta.llm.hashing import slices
+from sedimenta.llm.memory import giving_back
 
 #: Character classes, cues and the order of kinds. The first four kinds are the base.
 _DIGITS = frozenset("0123456789")
@@ -27,6 +28,14 @@ _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 _URL = _ALNUM | frozenset("-._~:/?#[]@!$&'()*+,;=%")
 _VALUE = _ALNUM | frozenset("_-")
+#: The length of an account number (IBAN) by its country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18,
+    "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20}
 CUES = ("token", "secret", "password", "api_key", "apikey", "account", "iban")
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account")
@@ -119,24 +128,51 @@ def _phone(text: str, at: int) -> tuple[Span | None, int]:
 
 def _url(text: str, at: int, least: int) -> Span | None:
     start = _left(text, at, _ALNUM, least)
+    if start == at or text[start] in _DIGITS:
+        return None
     end = _right(text, at + 3, _URL)
     while end > at + 3 and text[end - 1] in ".,;:!?)'":
         end -= 1
-    return (start, end) if start < at and text[start] not in _DIGITS and end > at + 3 else None
+    return (start, end) if end > at + 3 else None
 
 
-def _account(text: str, at: int) -> Span | None:
-    """The value after a cue: over a sign and a quote, 12 or more characters of which 4 are digits."""
+def _iban(text: str, at: int) -> Span | None:
+    """An account number from ``at``, with single blanks inside or none: as long as its country says, 1 modulo 97."""
+    length = IBAN_LENGTHS.get(text[at:at + 2].upper(), 0)
+    found, end = [], at
+    while len(found) < length and end < len(text):
+        if text[end] in _ALNUM:
+            found.append(text[end].upper())
+        elif text[end] != " " or not found or text[end - 1] == " ":
+            break
+        end += 1
+    if not length or len(found) < length or text[end:end + 1] in _ALNUM and end < len(text):
+        return None
+    turned = "".join(str(int(c, 36)) for c in found[4:] + found[:4])
+    return (at, end) if int(turned) % 97 == 1 else None
+
+
+def _account(text: str, at: int, failed: int) -> tuple[Span | None, int]:
+    """The value after a cue, over a sign and a quote: an IBAN, or 12 or more characters of which 4 are digits.
+
+    Also where the last run of characters ends that held no value: what begins inside it holds none either.
+    """
     while at < len(text) and text[at] in " \t:=#\"'":
         at += 1
+    if span := _iban(text, at):
+        return span, failed
+    if at < failed:
+        return None, failed
     end = _right(text, at, _VALUE)
-    return (at, end) if end - at >= 12 and sum(c in _DIGITS for c in text[at:end]) >= 4 else None
+    if end - at >= 12 and sum(c in _DIGITS for c in text[at:end]) >= 4:
+        return (at, end), failed
+    return None, end
 
 
 def find(text: str) -> dict[str, list[Span]]:
     """The spans of each kind in code points, from the left, without overlaps within a kind."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
-    past = dict.fromkeys(KINDS, 0)
+    past, failed = dict.fromkeys(KINDS, 0), 0
     for last, (anchor, width) in _automaton().iter(text):
         at = last - width + 1
         if anchor == "d":
@@ -155,7 +191,10 @@ def find(text: str) -> dict[str, list[Span]]:
             kind = {"@": "email", "s": "url", "c": "account"}[anchor]
             if at < past[kind]:
                 continue
-            span = _email(text, at, past[kind]) if anchor == "@" else _url(text, at, past[kind]) if anchor == "s" else _account(text, last + 1)
+            if anchor == "c":
+                span, failed = _account(text, last + 1, failed)
+            else:
+                span = (_email if anchor == "@" else _url)(text, at, past[kind])
             if span:
                 out[kind].append(span)
                 past[kind] = span[1]
@@ -200,4 +239,4 @@ def personal_data(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     schema = StructType(list(rows.schema))
     for name in new:
         schema = schema.add(name, "long" if name.startswith("n_") else "string")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)

@@ -25,6 +25,10 @@ _SLACK = 1e-9
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. Very large and very small ones are scaled by a power of two first, as their squares have no double."""
+    largest = np.abs(x).max(axis=1, keepdims=True, initial=0.0)
+    far = (largest > 1e100) | (largest < 1e-100)
+    x = np.where(far, np.ldexp(x, -np.frexp(largest)[1]), x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
