@@ -45,23 +45,38 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     lows = np.stack([np.searchsorted(a, p[:, None] - reach) for a, p in zip(arrays, places.T, strict=True)], axis=2)
     highs = np.stack([np.searchsorted(a, p[:, None] + reach, "right") for a, p in zip(arrays, places.T, strict=True)], axis=2)
     highs[:, 0], lows[:, -1], highs[:, -1] = lows[:, 0], 0, n
+    radii, ended = [0.0, *radii, np.inf], 2
     for q, qid in enumerate(query_ids.tolist()):
         counts, verified = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
         own, best = ids != qid, np.empty(0, dtype=np.int64)
         scores = np.empty(0)
-        for turn, radius in enumerate([*radii, np.inf], 1):
-            cuts = zip(order, lows[q, turn].tolist(), lows[q, turn - 1].tolist(), highs[q, turn - 1].tolist(), highs[q, turn].tolist(), strict=True)
-            fresh = [piece for o, x, y, z, t in cuts for piece in (o[x:y], o[z:t])]
-            counts += np.bincount(np.concatenate(fresh), minlength=n)
+        # The first windows are those of the turn before the last query's end: narrower ones hold nothing that these don't.
+        before, turns = 0, range(max(1, ended - 1), len(radii))
+        for turn in turns:
+            low, high = lows[q, turn], highs[q, turn]
+            inside = (high - low).sum()
+            if PROJECTIONS * n - inside < inside - (highs[q, before] - lows[q, before]).sum():
+                # Wide windows: those outside are fewer than the new ones inside.
+                cuts = zip(order, low.tolist(), high.tolist(), strict=True)
+                counts = PROJECTIONS - np.bincount(np.concatenate([piece for o, x, t in cuts for piece in (o[:x], o[t:])]), minlength=n)
+            else:
+                cuts = zip(order, low.tolist(), lows[q, before].tolist(), highs[q, before].tolist(), high.tolist(), strict=True)
+                counts += np.bincount(np.concatenate([piece for o, x, y, z, t in cuts for piece in (o[x:y], o[z:t])]), minlength=n)
+            before = ended = turn
             passed = np.flatnonzero((counts >= need) & ~verified & own)
             if len(passed):
                 verified[passed] = True
-                best, scores = np.append(best, passed), np.append(scores, vectors[passed] @ queries[q])
+                # To gather more than half of the rows costs more than to multiply them all.
+                found = np.einsum('ij,j->i', vectors[passed], queries[q]) if 2 * len(passed) < n else np.einsum('ij,j->i', vectors, queries[q])[passed]
+                best, scores = np.append(best, passed), np.append(scores, found)
+                if len(best) > 4 * k:  # what can't be among the k best, ties included, needs no sorting
+                    least = np.partition(scores, len(scores) - k)[-k]
+                    best, scores = best[scores >= least], scores[scores >= least]
                 keep = np.lexsort((ids[best], -scores))[:k]
                 best, scores = best[keep], scores[keep]
             if len(best) == k:
                 cosine = scores[-1] / (top * np.linalg.norm(queries[q]))
-                if 2 - 2 * cosine <= radius**2:
+                if 2 - 2 * cosine <= radii[turn]**2:
                     break
         out += [(qid, i, s) for i, s in zip(ids[best].tolist(), scores.tolist(), strict=True)]
     return out
