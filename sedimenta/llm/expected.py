@@ -114,7 +114,63 @@ SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
 FROM figured f JOIN summed s USING (prefix) LEFT JOIN ended e USING (prefix)
 LEFT JOIN nodes p ON f.depth > 0 AND p.prefix = f.above"""
 
+#: Components of {links} (a, b) over the ids of {nodes} (id): the least id that an id reaches.
+_REACH = """
+both_ways AS (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}),
+reach AS (SELECT id, id AS seen FROM {nodes} UNION SELECT l.b, r.seen FROM reach r JOIN both_ways l ON l.a = r.id),
+components AS (SELECT id, min(seen) AS component FROM reach GROUP BY id)"""
+
+OP3 = """
+WITH RECURSIVE vectors AS (
+  SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+valid AS (
+  SELECT id, v FROM vectors WHERE id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+near AS (
+  SELECT a.id AS a, b.id AS b FROM valid a JOIN valid b ON a.id < b.id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.9),""" + _REACH.format(
+    links="near", nodes="valid") + """,
+degrees AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT v.id AS vec_id, coalesce(d.n, 0) AS n_links, coalesce(c.component, v.id) AS component_id, v.id = coalesce(c.component, v.id) AS kept
+FROM vectors v LEFT JOIN components c USING (id) LEFT JOIN degrees d USING (id)"""
+
+_WORDS = r"""regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"""
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP6 = f"""
+WITH RECURSIVE worded AS (
+  SELECT CAST(doc_id AS BIGINT) AS id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM worded),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+pairs AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.g = y.g AND x.id < y.id GROUP BY ALL),
+near AS (SELECT a, b FROM pairs JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),""" + _REACH.format(
+    links="near", nodes="sizes") + """
+SELECT w.id AS doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component, w.id) AS component_id
+FROM worded w LEFT JOIN sizes s USING (id) LEFT JOIN components c USING (id)"""
+
+OP9 = f"""
+WITH worded AS (SELECT CAST(doc_id AS BIGINT) AS id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+starts AS (SELECT id, w, unnest(range(1, len(w) - 48)) AS p FROM worded WHERE len(w) >= 50),
+windows AS (SELECT id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS g FROM starts),
+firsts AS (SELECT g, min(id) AS first FROM windows GROUP BY g),
+repeated AS (SELECT id, p FROM windows JOIN firsts USING (g) WHERE id > first),
+words AS (SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM worded),
+marked AS (
+  SELECT x.id, x.word, x.p, max(CASE WHEN r.id IS NULL THEN 0 ELSE 1 END) OVER (
+    PARTITION BY x.id ORDER BY x.p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM words x LEFT JOIN repeated r ON r.id = x.id AND r.p = x.p),
+counted AS (
+  SELECT id, count(*) AS n, CAST(sum(gone) AS BIGINT) AS removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (gone = 0), '') AS kept
+  FROM marked GROUP BY id)
+SELECT w.id AS doc_id, coalesce(c.n, 0) AS n_words, coalesce(c.removed, 0) AS n_removed, sha256(coalesce(c.kept, '')) AS kept_sha256
+FROM worded w LEFT JOIN counted c USING (id)"""
+
 EXPECTED: dict[str, str] = {
+    "op3_embedding_range_join": OP3,
+    "op6_ngram_jaccard_join": OP6,
+    "op9_substring_dedup": OP9,
     "op11_chat_formatting": OP11,
     "op12_merkle_manifest": OP12,
     "op13_prefix_trie": OP13,
