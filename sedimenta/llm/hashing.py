@@ -59,14 +59,14 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that no piece holds much over SLICE_BYTES of text (one text at least)."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that no piece holds much over ``most`` bytes of text (one text at least)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         column = batch.column(text)
         size = np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64)
-        group = (np.cumsum(size) - size) // SLICE_BYTES
+        group = (np.cumsum(size) - size) // most
         cuts = np.flatnonzero(np.diff(group)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(a, b - a)

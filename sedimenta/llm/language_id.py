@@ -23,6 +23,8 @@ from sedimenta.llm.hashing import mix, rolling, slices
 from sedimenta.llm.memory import giving_back
 from sedimenta.llm.tokens import TokenTable
 
+#: Text bytes whose words are scored together; their scores are several times as large.
+_SLICE_BYTES = 1_000_000
 #: First code points of script ranges and the scripts (Unicode blocks; "" is any other).
 SCRIPTS = [
     (0x0000, "latin"), (0x0250, ""), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -189,7 +191,7 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, langs = TokenTable(lambda tokens: word_scores(tokens, model), 2 + len(model.languages)), model.languages
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, _SLICE_BYTES):
             tokens = [(t or "").lower().split() for t in batch.column(text_col).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
             table.fresh()
