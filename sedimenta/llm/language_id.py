@@ -24,7 +24,7 @@ from sedimenta.llm.memory import giving_back
 from sedimenta.llm.tokens import TokenTable
 
 #: Text bytes whose words are scored together; their scores are several times as large.
-_SLICE_BYTES = 1_000_000
+_SLICE_BYTES = 2_000_000
 #: First code points of script ranges and the scripts (Unicode blocks; "" is any other).
 SCRIPTS = [
     (0x0000, "latin"), (0x0250, ""), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
