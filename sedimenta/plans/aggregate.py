@@ -94,11 +94,12 @@ def _(spark, sf):
 
 
 @query("D9_sla_kpi", expect("""
-SELECT pipeline_id, count(run_id) AS total_runs, CAST(sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS BIGINT) AS successful_runs,
-       CAST(sum(records_extracted) AS BIGINT) AS total_extracted, CAST(sum(records_loaded) AS BIGINT) AS total_loaded,
-       CAST(sum(records_rejected) AS BIGINT) AS total_rejected,
-       round(100.0::DOUBLE * sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) / count(run_id), 2) AS success_rate_pct
-FROM audit GROUP BY pipeline_id""", "audit"))
+, per_load AS (
+  SELECT pipeline_id, count(*) AS runs, count(*) FILTER (status = 'SUCCESS') AS good, sum(records_extracted)::BIGINT AS seen,
+         sum(records_loaded)::BIGINT AS kept, sum(records_rejected)::BIGINT AS refused
+  FROM audit GROUP BY pipeline_id)
+SELECT pipeline_id, runs AS total_runs, good AS successful_runs, seen AS total_extracted, kept AS total_loaded, refused AS total_rejected,
+       round(good * 100 / runs::DOUBLE, 2) AS success_rate_pct FROM per_load""", "audit"))
 def _(spark, sf):
     return audit.kpi_report(warehouse.audit(spark, sf))
 
@@ -200,11 +201,18 @@ def _(spark, sf):
 
 
 @query("E1_spend_ranks", expect("""
+, above AS (  -- how many customers, and how many different amounts, lie above an amount
+  SELECT amount, coalesce(sum(holders) OVER higher, 0) AS richer, row_number() OVER (ORDER BY amount DESC) AS place
+  FROM (SELECT total_spend AS amount, count(*) AS holders FROM customer_spend GROUP BY total_spend)
+  WINDOW higher AS (ORDER BY amount DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+placed AS (
+  SELECT s.*, CAST(richer AS BIGINT) + row_number() OVER (PARTITION BY total_spend ORDER BY customer_id) AS n, CAST(richer AS BIGINT) + 1 AS tied, place
+  FROM customer_spend s JOIN above ON amount = total_spend),
+quarters AS (SELECT count(*) // 4 AS least, count(*) % 4 AS longer FROM customer_spend)
 SELECT customer_id, customer_name, city, total_orders, CAST(total_spend AS DOUBLE) AS total_spend, last_order_date,
-       row_number() OVER (ORDER BY total_spend DESC, customer_id) AS spend_row_num,
-       rank() OVER (ORDER BY total_spend DESC) AS spend_rank,
-       dense_rank() OVER (ORDER BY total_spend DESC) AS spend_dense_rank,
-       ntile(4) OVER (ORDER BY total_spend DESC, customer_id) AS spend_quartile FROM customer_spend""", "customer_spend"))
+       n AS spend_row_num, tied AS spend_rank, place AS spend_dense_rank,
+       CASE WHEN n <= longer * (least + 1) THEN (n - 1) // (least + 1) ELSE longer + (n - longer * (least + 1) - 1) // least END + 1 AS spend_quartile
+FROM placed, quarters""", "customer_spend"))
 def spend_ranks(spark, sf):
     return ordered.ordered_window(
         materialise(spend(spark, sf), "customer-spend"),
@@ -215,10 +223,10 @@ def spend_ranks(spark, sf):
 
 
 @query("E2_top_products_per_category", expect("""
-SELECT category, product_name, total_qty, rnk FROM (
-  SELECT p.category, p.product_name, CAST(sum(f.quantity) AS BIGINT) AS total_qty,
-         row_number() OVER (PARTITION BY p.category ORDER BY sum(f.quantity) DESC, p.product_name) AS rnk
-  FROM facts f JOIN dim_product p ON f.product_sk = p.product_sk GROUP BY p.category, p.product_name) WHERE rnk <= 3""", "facts"))
+, sold AS (SELECT product_sk, sum(quantity) AS quantity FROM facts GROUP BY product_sk),
+named AS (
+  SELECT category, product_name, CAST(sum(quantity) AS BIGINT) AS total_qty FROM sold JOIN dim_product USING (product_sk) GROUP BY ALL)
+SELECT *, row_number() OVER (PARTITION BY category ORDER BY total_qty DESC, product_name) AS rnk FROM named QUALIFY rnk <= 3""", "facts"))
 def top_products(spark, sf):
     return gold.top_products(warehouse.facts(spark, sf, "products"), warehouse.dim_product(spark, sf), 3)
 
