@@ -1,9 +1,10 @@
-"""Times the headline queries and prints one JSON line."""
+"""Times the headline queries, the median of up to three rounds, and prints one JSON line."""
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -22,12 +23,22 @@ HEADLINE = [
     "K7_peppered_token", "L1_microbatch_key_replace",
 ]
 
+ROUNDS, MOST_SECONDS = 3, 300
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("bench", os.environ.get("BENCH_CPUS", "8"))
     _run(spark, "D1_gold_daily_sales", sf_dir)  # starts executors and warms the file cache
-    times = {name: round(_run(spark, name, sf_dir), 3) for name in HEADLINE}
+    rounds: dict[str, list[float]] = {name: [] for name in HEADLINE}
+    start = time.perf_counter()
+    for done in range(ROUNDS):
+        # Another round only if it is likely to end in time.
+        if done and (time.perf_counter() - start) * (done + 1) / done > MOST_SECONDS:
+            break
+        for name in HEADLINE:
+            rounds[name].append(_run(spark, name, sf_dir))
+    times = {name: round(statistics.median(seconds), 3) for name, seconds in rounds.items()}
     print(json.dumps({
         "metric": "total_headline_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": sf_dir.rsplit("sf", 1)[-1],
