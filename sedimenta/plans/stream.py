@@ -21,6 +21,8 @@ from sedimenta.sources import entities
 from sedimenta.streaming import merging, row_source, sinks
 
 DELIVERIES = 4
+#: Streams that take 1,000 rows in turn, and rows of the row groups that are read to find them.
+LANES, GROUP_ROWS = 8, 16 * row_source.MAX_ROWS
 
 
 def _stream(spark, frame, arrival, make, handle, mode="append"):
@@ -71,9 +73,13 @@ def _(spark, sf):
     # Every micro-batch is cut at 1,000 rows, wherever that is in a file.
     events = entities.events(spark, sf)
     path, root = scratch_path(spark, "arrived"), scratch_path(spark, "stream")
-    events.write.parquet(path)
+    events.write.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(path)
     out = sinks.BatchFiles(spark, f"{root}/out")
-    sinks.run_batches(row_source.parquet_rows(spark, path, events.schema), out.append, f"{root}/_checkpoint")
+
+    def lane(k):
+        return row_source.parquet_rows(spark, path, events.schema, lane=k, lanes=LANES)
+
+    sinks.run_lanes(lane, LANES, out.append, f"{root}/_checkpoint")
     return out.read().groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.count(F.lit(1)).alias("row_count"))
 
 

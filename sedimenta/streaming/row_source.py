@@ -7,12 +7,18 @@ many rows a file has. Executors read the row groups that a slice touches, in Arr
 Files are taken in the order of modification time and name. The offset counts the files before its place, so
 a file that turns up behind it is noticed and ends the query, rather than being left out. Files must not change or be
 deleted while the stream needs them.
+
+A micro-batch costs a fixed time, however few rows it has, so a long stream can be dealt to lanes that run side by side:
+the rows in order are cut into stripes of the given number of rows, and a lane takes every so many-th stripe. The
+last stripe may be short; rows that arrive for it later make a micro-batch of their own.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -34,21 +40,24 @@ class Slice(InputPartition):
 
 
 class RowCappedParquet(DataSource):
-    """Options: ``path`` (a folder), ``maxRowsPerBatch``."""
+    """Options: ``path`` (a folder), ``maxRowsPerBatch``, ``lane`` of ``lanes``."""
 
     @classmethod
     def name(cls) -> str:
         return "row_capped_parquet"
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
-        return RowCappedReader(self.options["path"], int(self.options.get("maxRowsPerBatch", MAX_ROWS)), schema.fieldNames())
+        rows, lane, lanes = (int(self.options.get(o, d)) for o, d in (("maxRowsPerBatch", MAX_ROWS), ("lane", 0), ("lanes", 1)))
+        return RowCappedReader(self.options["path"], rows, schema.fieldNames(), lane, lanes)
 
 
 class RowCappedReader(DataSourceStreamReader):
-    def __init__(self, path: str, max_rows: int, columns: list[str]):
+    def __init__(self, path: str, max_rows: int, columns: list[str], lane: int = 0, lanes: int = 1):
         if max_rows < 1:
             raise ValueError("maxRowsPerBatch must be 1 or more")
-        self.max_rows, self.columns, self.path = max_rows, columns, path
+        if not 0 <= lane < lanes:
+            raise ValueError("lane must be from 0 to lanes - 1")
+        self.max_rows, self.columns, self.path, self.lane, self.lanes = max_rows, columns, path, lane, lanes
         self._at: dict | None = None  # the end of the last planned batch
         self._rows: dict[str, int] = {}
 
@@ -62,6 +71,8 @@ class RowCappedReader(DataSourceStreamReader):
         at = self._at or self.initialOffset()
         files = self._files()
         self._check(files, at)
+        if self.lanes > 1:
+            return self._stripe(files, at)
         left = self.max_rows
         for n in range(max(at["files"] - 1, 0), len(files)):
             mtime, path = files[n]
@@ -76,8 +87,11 @@ class RowCappedReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[Slice]:
         """The slices between two offsets; on a restart Spark plans the last batch again, which gives the place."""
         self._at = end
+        files = self._files()[:end["files"]]
+        if self.lanes > 1:
+            return self._striped(files, start, end)
         slices = []
-        for n, (_, path) in enumerate(self._files()[:end["files"]]):
+        for n, (_, path) in enumerate(files):
             if n + 1 < start["files"]:
                 continue
             first = start["row"] if n + 1 == start["files"] else 0
@@ -89,6 +103,36 @@ class RowCappedReader(DataSourceStreamReader):
     def commit(self, end: dict) -> None:
         pass
 
+    def _stripe(self, files: list[tuple[int, str]], at: dict) -> dict:
+        """The end of the lane's first stripe that has rows behind a place."""
+        before = self._before(files)
+        place = self._place(before, at)
+        stripe = place // self.max_rows
+        stripe += (self.lane - stripe) % self.lanes
+        end = min((stripe + 1) * self.max_rows, before[-1])
+        if end <= max(place, stripe * self.max_rows):
+            return at
+        n = bisect_left(before, end)
+        mtime, path = files[n - 1]
+        return {"files": n, "mtime": mtime, "file": path, "row": end - before[n - 1]}
+
+    def _striped(self, files: list[tuple[int, str]], start: dict, end: dict) -> list[Slice]:
+        """The slices of the stripe that ends at ``end``; those between it and ``start`` are other lanes'."""
+        before = self._before(files)
+        last = self._place(before, end)
+        first = max(self._place(before, start), (last - 1) // self.max_rows * self.max_rows)
+        cut = [(path, max(first - rows, 0), min(last - rows, self._count(path))) for (_, path), rows in zip(files, before)]
+        return [Slice(path, a, b) for path, a, b in cut if a < b]
+
+    def _before(self, files: list[tuple[int, str]]) -> list[int]:
+        """The rows before each file, and of all."""
+        return list(accumulate((self._count(path) for _, path in files), initial=0))
+
+    @staticmethod
+    def _place(before: list[int], at: dict) -> int:
+        """The number of rows before an offset."""
+        return before[at["files"] - 1] + at["row"] if at["files"] else 0
+
     def _files(self) -> list[tuple[int, str]]:
         fs, folder = _open(self.path)
         found = fs.get_file_info(pafs.FileSelector(folder, recursive=True, allow_not_found=True))
@@ -126,6 +170,8 @@ class RowCappedReader(DataSourceStreamReader):
                 at += batch.num_rows
                 if cut.num_rows:
                     yield cut.select(self.columns)
+                if at >= partition.end:
+                    break
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
@@ -133,7 +179,8 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "", 1))
 
 
-def parquet_rows(spark: SparkSession, path: str, schema: StructType, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The stream of a folder of Parquet files in micro-batches of at most ``max_rows`` rows."""
+def parquet_rows(spark: SparkSession, path: str, schema: StructType, max_rows: int = MAX_ROWS, lane: int = 0, lanes: int = 1) -> DataFrame:
+    """The stream of a folder of Parquet files, or a lane of it, in micro-batches of at most ``max_rows`` rows."""
     spark.dataSource.register(RowCappedParquet)
-    return spark.readStream.format("row_capped_parquet").schema(schema).option("maxRowsPerBatch", max_rows).load(path)
+    options = {"maxRowsPerBatch": max_rows, "lane": lane, "lanes": lanes}
+    return spark.readStream.format("row_capped_parquet").schema(schema).options(**options).load(path)

@@ -70,6 +70,29 @@ def run_batches(stream: DataFrame, handle: Handler, checkpoint: str, mode: str =
     return rows
 
 
+def run_lanes(lane: Callable[[int], DataFrame], lanes: int, handle: Handler, checkpoint: str, mode: str = "append") -> dict[int, int]:
+    """As ``run_batches``, for a stream dealt to lanes that run side by side, each with a checkpoint of its own.
+
+    Batch n of a lane is batch n * lanes + lane of the whole. A checkpoint stays with its number of lanes.
+    """
+    counted, rows = _counted(handle)
+
+    def numbered(k: int) -> Handler:
+        return lambda batch, batch_id: counted(batch, batch_id * lanes + k)
+
+    queries = []
+    try:
+        for k in range(lanes):
+            writer = _writer(lane(k), numbered(k), f"{checkpoint}/{lanes}-{k}", mode)
+            queries.append(writer.trigger(processingTime="0 seconds").start())
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    return rows
+
+
 def _counted(handle: Handler) -> tuple[Handler, dict[int, int]]:
     """The handler, which must read its batch, and the rows of each batch it has handled."""
     rows: dict[int, int] = {}

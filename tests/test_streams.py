@@ -3,6 +3,7 @@
 import datetime
 import os
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sedimenta.operators import cdc
 from sedimenta.plans import QUERIES
 from sedimenta.session import scratch_path
+from sedimenta.sources.readers import SCHEMAS
 from sedimenta.streaming import merging, row_source, sinks
 
 
@@ -72,6 +74,43 @@ def test_a_file_behind_the_place_is_noticed(spark):
         sinks.run_batches(stream(), out.append, f"{root}/c")
 
 
+def test_lanes_take_stripes_in_turn(spark):
+    path, root = scratch_path(spark, "capped"), scratch_path(spark, "out")
+    out = sinks.BatchFiles(spark, f"{root}/f")
+
+    def run():
+        lane = lambda k: row_source.parquet_rows(spark, path, spark.range(1).schema, 300, k, 3)
+        return sinks.run_lanes(lane, 3, out.append, f"{root}/c")
+
+    landed(spark, path, 0, 1000, 3)
+    assert run() == {0: 300, 1: 300, 2: 300, 3: 100}
+    assert run() == {}
+    landed(spark, path, 1000, 1850, 2)
+    # The first lane takes what is left of its stripe, then the next one; rows 1200 to 1799 are the other lanes'.
+    assert run() == {6: 200, 4: 300, 5: 300, 9: 50}
+    assert sorted(r.id for r in out.read().collect()) == list(range(1850))
+
+
+def test_bounded_batches_run_side_by_side(spark, monkeypatch):
+    most, running, lock, append = [0], [0], threading.Lock(), sinks.BatchFiles.append
+
+    def watched(self, batch, batch_id):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        append(self, batch, batch_id)
+        with lock:
+            running[0] -= 1
+
+    monkeypatch.setattr(sinks.BatchFiles, "append", watched)
+    path = scratch_path(spark, "given")
+    events = spark.range(10_500).selectExpr(
+        "id event_id", "id % 7 user_id", "'view' event_type", "timestamp_ntz'2024-01-01' ts", "double(id) value", "'' props")
+    events.select(*[F.col(f.name).cast(f.dataType) for f in spark.createDataFrame([], SCHEMAS["events"]).schema]).write.parquet(f"{path}/events.parquet")
+    rows = {r.batch_id: r.row_count for r in QUERIES["L2_bounded_microbatches"].build(spark, path).collect()}
+    assert rows == {b: 1_000 for b in range(10)} | {10: 500} and most[0] > 1
+
+
 def test_slices_cut_row_groups(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
