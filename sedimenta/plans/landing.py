@@ -12,6 +12,8 @@ from sedimenta.sources import entities, formats, readers
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 RECORDS_PER_DOCUMENT = 5_000
 PAGE_SIZE = 50
+#: Rows of a compressed file, which one task reads.
+FILE_ROWS = 1_000_000
 
 
 def app_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,6 +51,11 @@ def landed_ndjson(spark: SparkSession, df: DataFrame) -> str:
     return path
 
 
+def landed_rows(df: DataFrame, path: str) -> None:
+    """Add newline JSON files to a folder; compressed, as their text is several times the size of the rows."""
+    df.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).json(path)
+
+
 def landed_documents(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     path = scratch_path(spark, "documents")
     formats.land_json_documents(df, key, RECORDS_PER_DOCUMENT, path)

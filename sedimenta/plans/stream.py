@@ -33,7 +33,7 @@ def _stream(spark, frame, arrival, make, handle, mode="append"):
     path, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "checkpoint")
     rows = {}
     for delivery in range(DELIVERIES):
-        frame.where(arrival == delivery).write.mode("append").json(path)
+        landing.landed_rows(frame.where(arrival == delivery), path)
         rows |= sinks.run_available(make(sinks.ndjson_stream(spark, path, frame.schema)), handle, checkpoint, mode)
     return rows
 

@@ -150,13 +150,15 @@ class PartitionedTable:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def replace(
-        self, df: DataFrame, run_id: str, touched: list | None = None, based_on: int | None = None, splits: bool = False
+        self, df: DataFrame, run_id: str, touched: list | None = None, based_on: int | None = None, splits: bool = False,
+        placed: bool = False,
     ) -> int:
         """Replace the partitions in ``touched``, by default those that ``df`` has rows of.
 
         A touched partition without rows is dropped. Rows of other partitions are refused, unless the writer
         ``splits`` the touched ones into new ones. With ``based_on`` the commit is refused when a touched
-        partition was replaced after that version. Repeating a committed run is a no-op.
+        partition was replaced after that version. Rows that are ``placed``, all of a partition in one task, are
+        written as they lie. Repeating a committed run is a no-op.
         """
         done = self.log.find("number bigint, run_id string", run_id=run_id)
         if done is not None:
@@ -165,7 +167,8 @@ class PartitionedTable:
         # The directory column is a copy, so the files keep all columns and need no path to be read. Its first
         # letter tells null from empty text, which share a directory otherwise.
         named = F.coalesce(F.concat(F.lit("v"), F.col(self.partition).cast("string")), F.lit("n"))
-        copied = df.withColumn("_p", named).hint("rebalance", F.col("_p"))
+        copied = df.withColumn("_p", named)
+        copied = copied if placed else copied.hint("rebalance", F.col("_p"))
         copied.write.partitionBy("_p").parquet(base)
         written = self._written(base, df.schema)
         gone = [v for v in map(_text, touched or []) if v not in written]

@@ -9,13 +9,13 @@ named by the batch, so a replayed batch finds its commit and changes no file.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.operators.merge import latest_per_key
 from sedimenta.session import discard, materialise
 from sedimenta.sources.tables import PartitionedTable
 
@@ -89,6 +89,59 @@ class KeyBuckets:
         depths = sizes.select("_was", F.least(F.length("_was") + more, F.lit(_BITS)).alias("_depth"))
         return placed.join(depths, "_was").withColumn(_BUCKET, bits.substr(F.lit(1), F.col("_depth"))).select(*rows.columns, _BUCKET)
 
+    def fold(self, batch: DataFrame, change: Callable[[DataFrame], DataFrame], run_id: str) -> dict:
+        """As ``apply``, with one shuffle: replace the buckets of the batch's keys by ``change`` of their rows and the batch's.
+
+        ``change`` gets both as one frame, in which ``_stored`` tells them apart and the rows of a bucket lie in one
+        task; it must leave them there and keep the keys that the batch does not name. Returns what was read and
+        written; a run that was committed before reads and writes nothing.
+        """
+        if self.table.log.find("number bigint, run_id string", run_id=run_id) is not None:
+            return {"rows_read": 0, "buckets_read": 0, "rows_written": 0, "buckets_written": 0}
+        names = self.schema.fieldNames()
+        version = self.table.version()
+        entries = self.table.entries(version)
+        arriving = self._arriving(batch, list(entries) or [""])
+        touched = sorted(arriving) if entries else []
+        rows = batch.select(*names).withColumn("_stored", F.lit(False))
+        if touched:
+            stored = self.table.read(version, only=touched).select(*names).withColumn("_stored", F.lit(True))
+            rows = stored.unionByName(rows)
+        sizes = {b: n + (entries[b]["rows"] if entries else 0) for b, n in arriving.items()}
+        # One shuffle brings a bucket's rows together for both the change and the files.
+        placed = self._placed(rows, sizes or {"": 0}).repartition(F.col(_BUCKET))
+        done = self.table.replace(
+            change(placed).select(*names, _BUCKET), run_id, touched=touched, based_on=version, splits=True, placed=True)
+        new = self.table.log.get(done)["changed"]
+        return {
+            "rows_read": sum(entries[b]["rows"] for b in touched), "buckets_read": len(touched),
+            "rows_written": sum(e["rows"] for e in new), "buckets_written": len(new)}
+
+    def _arriving(self, batch: DataFrame, buckets: list[str]) -> dict[str, int]:
+        """The buckets of the batch's keys and its rows of each."""
+        found = self._in(batch.select(self.key), buckets).groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
+        return {r[_BUCKET]: r["n"] for r in found.collect()}
+
+    def _placed(self, rows: DataFrame, sizes: dict[str, int]) -> DataFrame:
+        """Rows with their bucket, cut by more bits where one may become too large.
+
+        ``sizes`` are the rows of each bucket, a key that is stored and arrives being counted twice.
+        """
+        buckets = []
+        for bucket, size in sizes.items():
+            more = min(max(math.ceil(math.log2(max(size, 1) / self.most_rows)), 0), _BITS - len(bucket))
+            buckets += [bucket + (f"{n:0{more}b}" if more else "") for n in range(1 << more)]
+        return self._in(rows, buckets)
+
+    def _in(self, rows: DataFrame, buckets: list[str]) -> DataFrame:
+        """Rows with their bucket. A key has as many candidates as there are lengths; one of them exists."""
+        lengths = sorted({len(b) for b in buckets})
+        candidates = [F.substring(_bits(self.key), 1, n) if n else F.lit("") for n in lengths]
+        if len(lengths) == 1 and len(buckets) == 1 << lengths[0]:
+            return rows.withColumn(_BUCKET, candidates[0])
+        known = self.spark.createDataFrame([(b,) for b in buckets], f"{_BUCKET} string")
+        return rows.withColumn(_BUCKET, F.explode(F.array(*candidates))).join(known, _BUCKET, "left_semi")
+
 
 class EnvelopeMerge:
     """Change envelopes ``{op, ts_ms, before, after}`` merged into a table in every micro-batch.
@@ -111,12 +164,12 @@ class EnvelopeMerge:
     def seed(self, rows: DataFrame) -> None:
         """Store the rows the stream starts from."""
         place = F.lit(None).cast(self.buckets.schema["_seq"].dataType)
-        self.buckets.apply(rows.withColumns({"_seq": place, "_alive": F.lit(True)}), lambda _, new: new, "seed")
+        self.buckets.fold(rows.withColumns({"_seq": place, "_alive": F.lit(True)}), lambda rows: rows, "seed")
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
         """Handle a micro-batch."""
         newest = self._newest(batch)
-        self.progress[batch_id] = self.buckets.apply(newest, self._change, f"batch-{batch_id}")
+        self.progress[batch_id] = self.buckets.fold(newest, self._change, f"batch-{batch_id}")
         discard(newest)
 
     def read(self) -> DataFrame:
@@ -126,14 +179,20 @@ class EnvelopeMerge:
         key = F.coalesce(F.col(f"after.{self.key}"), F.col(f"before.{self.key}"))
         image = [F.col(f"after.{c}").alias(c) for c in self.row.fieldNames() if c != self.key]
         flat = batch.select(key.alias(self.key), *image, (F.col("op") != "d").alias("_alive"), F.struct(*self.seq).alias("_seq"))
-        return materialise(latest_per_key(flat, [self.key], ["_seq"]), "newest")
+        # One struct holds the place once; of equal places either row will do.
+        rest = [n for n in flat.columns if n not in (self.key, "_seq")]
+        newest = flat.groupBy(self.key).agg(F.max(F.struct("_seq", *rest)).alias("_row"))
+        return materialise(newest.select(self.key, "_row.*"), "newest")
 
-    def _change(self, stored: DataFrame, newest: DataFrame) -> DataFrame:
+    def _change(self, rows: DataFrame) -> DataFrame:
         names = self.buckets.schema.fieldNames()
         rest = [n for n in names if n != self.key]
-        a = stored.select(self.key, F.struct(*rest).alias("_old"))
-        b = newest.select(self.key, F.struct(*rest).alias("_new"))
-        old, new = F.col("_old._seq"), F.col("_new._seq")
-        wins = F.col("_new").isNotNull() & (F.col("_old").isNull() | old.isNull() | (new > old))
-        joined = a.join(b, self.key, "full_outer").withColumn("_row", F.when(wins, F.col("_new")).otherwise(F.col("_old")))
-        return joined.select(self.key, "_row.*").select(*names)
+        same = Window.partitionBy(_BUCKET, self.key)
+        arrived = F.when(~F.col("_stored") & F.col(self.key).isNotNull(), F.struct(*rest))
+        seen = rows.withColumns({"_new": F.first(arrived, ignorenulls=True).over(same), "_known": F.max("_stored").over(same)})
+        # An arriving row takes the place of what is stored, or is added; null keys match nothing.
+        seen = seen.where(F.col("_stored") | ~F.col("_known") | F.col(self.key).isNull())
+        old, new = F.col("_seq"), F.col("_new._seq")
+        wins = F.col("_stored") & F.col("_new").isNotNull() & (old.isNull() | (new > old))
+        row = F.when(wins, F.col("_new")).otherwise(F.struct(*rest))
+        return seen.select(self.key, _BUCKET, row.alias("_row")).select(self.key, _BUCKET, "_row.*")

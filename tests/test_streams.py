@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.operators import cdc
-from sedimenta.plans import QUERIES
+from sedimenta.plans import QUERIES, landing
 from sedimenta.session import scratch_path
 from sedimenta.sources.readers import SCHEMAS
 from sedimenta.streaming import merging, row_source, sinks
@@ -182,6 +182,35 @@ def test_merging_batches_in_any_order_equals_one_merge(spark, rows):
     assert len(sizes) > 8 and max(sizes) <= 100
 
 
+def test_repeated_and_null_keys_of_the_seed_stay(spark, rows):
+    table = merging_table(spark)
+    table.seed(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], ROW))
+    batch = [envelope("u", 2, 0, 1, "x"), envelope("u", 1, 0, 1, "older"), envelope("c", 1, 0, None, "n"), envelope("d", 1, 0, 3)]
+    table.append(spark.createDataFrame(batch, ENVELOPE), 0)
+    assert rows(table.read()) == sorted([(1, "x"), (1, "x"), (2, "c"), (None, "d"), (None, "e"), (None, "n")], key=repr)
+
+
+def test_a_batch_is_shuffled_and_written_once(spark, monkeypatch):
+    table, written, materialise = merging_table(spark), [], merging.materialise
+    monkeypatch.setattr(merging, "materialise", lambda df, label: written.append(label) or materialise(df, label))
+    table.seed(spark.createDataFrame([(k, "a") for k in range(400)], ROW))
+    table.append(spark.createDataFrame([envelope("u", 1, 0, k, "b") for k in range(400)], ENVELOPE), 0)
+    assert written == ["newest"]
+    # All of a bucket lies in one task, which writes one file.
+    for entry in table.buckets.table.entries().values():
+        assert len([f for f in os.listdir(local(entry["path"])) if f.endswith(".parquet")]) == 1
+
+
+def test_deliveries_are_compressed(spark):
+    path = scratch_path(spark, "landed")
+    landing.landed_rows(spark.range(2_000).selectExpr("id", "'text' v"), path)
+    names = [f for f in os.listdir(local(path)) if f.startswith("part-")]
+    assert names and all(f.endswith(".json.gz") for f in names)
+    stream = sinks.ndjson_stream(spark, path, spark.read.schema("id bigint, v string").json(path).schema)
+    out = sinks.BatchFiles(spark, scratch_path(spark, "read"))
+    assert sum(sinks.run_available(stream, out.append, scratch_path(spark, "c")).values()) == 2_000
+
+
 def test_a_replayed_batch_changes_no_file(spark, rows):
     table = merging_table(spark)
     table.seed(spark.createDataFrame([(k, "a") for k in range(100)], ROW))
