@@ -1,7 +1,8 @@
 """Fuzzy line dedup by MinHash.
 
 A line's set is its distinct character shingles. MinHash signatures are cut into bands so that two lines over
-the threshold share a band almost surely; lines that share one are verified by their exact
+the threshold share a band almost surely. Two bits of every minimum go beside the keys: where bands meet, they tell lines that
+share one by chance, so that only the others are written; these are verified by their exact
 Jaccard similarity and united by distributed union-find. One line of each component stays: the first by
 document and place. Equal lines are one line from the start.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.cells import Sets, link_components, parity_sketches
 from sedimenta.llm.hashing import mix, rolling, slices
-from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, bit_hits, blob_batch, ids_table, key_blobs, shared_keys
+from sedimenta.llm.links import GROUP_KEYS, KEY_BLOB, Alike, bit_hits, blob_batch, ids_table, marked_blobs, shared_keys
 from sedimenta.llm.memory import giving_back
 from sedimenta.session import discard, materialise
 
@@ -31,6 +33,8 @@ SHINGLE, SHORT_SHINGLE = 12, 5
 MIN_CHARS = 24
 #: Characters that are hashed at once: their arrays stay in the processor's cache.
 BLOCK_CHARS = 64_000
+#: Words of a line's mark, and the share of linked lines (at the threshold) that marks may refuse in a band they share.
+MARK_WORDS, MISSED = BANDS * ROWS // 16, 1e-7
 _FACTORS = np.random.default_rng(11).integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -79,15 +83,47 @@ def line_sets(lines: list[str], shingle: int) -> Sets:
     return np.concatenate(items), np.concatenate([[0], np.cumsum(np.concatenate(sizes or [[]])).astype(np.int64)])
 
 
-def band_keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """(lines x bands) keys: ROWS minima under different orders of the shingles make one."""
-    low, keys = (hashes >> np.uint64(32)).astype(np.uint32), []
-    for band in range(BANDS):
-        key = np.full(len(begin), band + 1, dtype=np.uint64)
-        for factor in _FACTORS[band * ROWS:(band + 1) * ROWS]:
-            key = mix(key ^ np.minimum.reduceat(low * factor, begin))
-        keys.append(key)
-    return np.stack(keys, axis=1)
+def minima(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """(lines x bands * rows): the least of each line's shingles under different orders."""
+    low = (hashes >> np.uint64(32)).astype(np.uint32)
+    return np.stack([np.minimum.reduceat(low * factor, begin) for factor in _FACTORS], axis=1)
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """(lines x bands) keys: ROWS minima make one."""
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None], len(least), axis=0)
+    for row in range(ROWS):
+        keys = mix(keys ^ least[:, row::ROWS])
+    return keys
+
+
+def line_marks(least: np.ndarray) -> np.ndarray:
+    """(lines x MARK_WORDS) words with two bits of every minimum."""
+    bits = (least * np.uint32(0x9E3779B1)) >> np.uint32(30)
+    return np.bitwise_or.reduce(bits.reshape(len(least), MARK_WORDS, 16) << np.arange(0, 32, 2, dtype=np.uint32), axis=2)
+
+
+def least_alike(percent: int) -> int:
+    """How many of the minima of two lines must agree in their two bits, so that of linked lines that share a band, whose ROWS
+    minima agree anyway, fewer than MISSED are refused."""
+    rest, p = (BANDS - 1) * ROWS, percent / 100 + (1 - percent / 100) / 4
+    below, agree = 0.0, 0
+    while agree <= rest and (below := below + comb(rest, agree) * p ** agree * (1 - p) ** (rest - agree)) <= MISSED:
+        agree += 1
+    return ROWS + agree
+
+
+def marks_alike(percent: int) -> Alike:
+    """Whether lines with these marks may be linked."""
+    most = BANDS * ROWS - least_alike(percent)
+
+    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        other = a ^ b
+        other = (other | (other >> np.uint32(1))) & np.uint32(0x55555555)
+        apart = np.bitwise_count(other).sum(axis=1)
+        return (apart <= most) | ~a.any(axis=1) | ~b.any(axis=1)
+
+    return alike
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
@@ -97,7 +133,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         raise ValueError(f"lines need {shingle} characters at least")
     named = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     size = named.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = 1 + int(size / 25) // GROUP_KEYS  # a key for every 25 characters or so
+    parts = 1 + int(size / 25) // (GROUP_KEYS // 2)  # a key for every 25 characters or so, and its mark
 
     def distinct(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
         ids, found = _lines(batch.column("text").to_pylist(), min_chars)
@@ -115,8 +151,9 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for turn, batch in enumerate(slices(batches)):
             ids, lines = distinct(batch)
             if lines:
-                keys = np.concatenate([band_keys(*_shingles(block, shingle)) for block in _blocks(lines)])
-                yield blob_batch(list(key_blobs(np.repeat(ids, BANDS), keys.reshape(-1), parts, turn + int(ids[0]))))
+                least = np.concatenate([minima(*_shingles(block, shingle)) for block in _blocks(lines)])
+                marks = np.repeat(line_marks(least), BANDS, axis=0)
+                yield blob_batch(list(marked_blobs(np.repeat(ids, BANDS), band_keys(least).reshape(-1), marks, parts, turn + int(ids[0]))))
 
     def pick(table: np.ndarray, sketch: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +177,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         # The table lets some other lines pass, which no row asks for.
         return named.mapInArrow(pick(ids_table(ids, filter_bits), sketch), schema).dropDuplicates(["id"])
 
-    members = materialise(shared_keys(named.mapInArrow(giving_back(emit), KEY_BLOB), parts), "members")
+    members = materialise(shared_keys(named.mapInArrow(giving_back(emit), KEY_BLOB), parts, MARK_WORDS, marks_alike(percent)), "members")
     sketches = materialise(picked(members.select("id"), sketch=True), "sketches")
     labels = link_components(members, sketches, picked, lambda lines: line_sets(lines.to_pylist(), shingle), percent)
     discard(members)

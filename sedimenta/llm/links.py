@@ -1,12 +1,14 @@
 """Keys that two or more ids hold, and bit tables of fixed size.
 
 A caller gives every set some 64-bit keys such that two linked sets share one; `shared_keys` finds the
-keys that two or more sets hold. What shares a key is compared in `cells`.
+keys that two or more sets hold. What shares a key is compared in `cells`. Where sets also meet by chance, whose number
+grows faster than the sets, the caller puts a mark beside every key: a member none of whose group has a mark
+alike is refused where the keys meet, before anything is written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,14 @@ from sedimenta.llm.memory import give_back
 #: Keys that meet in one group of `shared_keys`.
 GROUP_KEYS = 2_000_000
 
+#: Ids of a slice that hold a key and still go on to its range one by one; members of a group that are compared by marks.
+CROWD, COMPARED = 16, 256
+
 KEY_BLOB = "part int, blob binary"
 
+#: Whether the marks (rows of 32-bit words) of two arrays are alike, row by row.
+Alike = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
 
 def key_blobs(ids: np.ndarray, keys: np.ndarray, parts: int, salt: int) -> Iterator[tuple[int, bytes]]:
     """Pack a slice's (id, key) pairs by key range for `shared_keys`.
@@ -49,6 +57,29 @@ def key_blobs(ids: np.ndarray, keys: np.ndarray, parts: int, salt: int) -> Itera
                                  + keys[a:b].astype(np.uint32).tobytes() + place.astype(np.uint32).tobytes())
 
 
+def marked_blobs(ids: np.ndarray, keys: np.ndarray, marks: np.ndarray, parts: int, salt: int) -> Iterator[tuple[int, bytes]]:
+    """Pack a slice's (id, key) pairs, no pair twice, each with its mark, by key range for `shared_keys`.
+
+    No mark stands for another, so ids that share a key here go on to its range all the same. Only a key that more than
+    CROWD of them hold is handed on at once, as in `key_blobs`; its first id goes on with a mark of zeros, which is like any other.
+    """
+    order = np.lexsort((ids, keys))
+    ids, keys, marks = ids[order], keys[order], marks[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    crowded = np.repeat(sizes > CROWD, sizes)
+    if crowded.any():
+        yield -1 - salt % parts, keys[crowded].tobytes() + ids[crowded].tobytes()
+        marks[crowded] = 0
+        on = ~crowded
+        on[starts] = True
+        ids, keys, marks = ids[on], keys[on], marks[on]
+    part = _part(keys, parts)
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+        yield int(part[a]), ids[a:b].tobytes() + keys[a:b].astype(np.uint32).tobytes() + marks[a:b].tobytes()
+
+
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
@@ -89,14 +120,54 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"key": wide.view(np.int64), "id": ids[keep]})
 
 
+def _meet_marked(table: pa.Table, words: int, alike: Alike) -> pa.Table:
+    """The (key, id) pairs of a range of keys whose mark is like that of another id with the key."""
+    part, keys, ids, marks = table.column(0)[0].as_py(), [], [], []
+    for blob in table.column(1).to_pylist():
+        n = len(blob) // (12 + 4 * words)
+        ids.append(np.frombuffer(blob, np.int64, n))
+        keys.append(np.frombuffer(blob, np.uint32, n, 8 * n))
+        marks.append(np.frombuffer(blob, np.uint32, n * words, 12 * n).reshape(n, words))
+    keys, ids, marks = np.concatenate(keys), np.concatenate(ids), np.concatenate(marks)
+    # Keys that occur once are done with.
+    order = np.sort((keys.astype(np.uint64) << np.uint64(32)) | np.arange(len(keys), dtype=np.uint64))
+    same = np.concatenate([[False], (order[1:] ^ order[:-1]) >> np.uint64(32) == 0, [False]])
+    order = (order[same[1:] | same[:-1]] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    order = order[np.lexsort((ids[order], keys[order]))]
+    keys, ids, marks = keys[order], ids[order], marks[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    if len(starts):
+        whole = np.logical_or.reduceat(~marks.any(axis=1), starts)
+        fresh = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+        sizes = np.add.reduceat(fresh, starts, dtype=np.int64)
+        keys, ids, marks = keys[fresh], ids[fresh], marks[fresh]
+        end = np.repeat(np.cumsum(sizes), sizes)
+        keep = np.repeat((whole | (sizes > COMPARED)) & (sizes > 1), sizes)
+        step, i = 1, np.flatnonzero(np.arange(1, len(ids) + 1) < end)
+        while len(i):
+            left = i[~(keep[i] & keep[i + step])]
+            left = left[alike(marks[left], marks[left + step])]
+            keep[left] = keep[left + step] = True
+            step += 1
+            i = i[i + step < end[i]]
+        keys, ids = keys[keep], ids[keep]
+    wide = keys.astype(np.uint64) | (np.uint64(part) << np.uint64(32))
+    return pa.table({"key": wide.view(np.int64), "id": ids})
+
+
 def _meet_parts(table: pa.Table) -> int:
     return table.column("parts")[0].as_py()
 
 
-def shared_keys(blobs: DataFrame, parts: int) -> DataFrame:
-    """(key, id) of every key that at least two ids hold. ``blobs`` are rows of `key_blobs`."""
+def shared_keys(blobs: DataFrame, parts: int, words: int = 0, alike: Alike | None = None) -> DataFrame:
+    """(key, id) of every key that at least two ids hold. ``blobs`` are rows of `key_blobs`.
+
+    With ``alike`` they are rows of `marked_blobs`, of marks of ``words`` words, and ids whose mark is like that of no other
+    id with the key are left out; groups of more than COMPARED ids and those a slice handed on at once are whole.
+    """
     def meet(table: pa.Table) -> pa.Table:
-        out = _meet(table)
+        marked = alike is not None and table.column(0)[0].as_py() >= 0
+        out = _meet_marked(table, words, alike) if marked else _meet(table)
         give_back()
         return out
 
