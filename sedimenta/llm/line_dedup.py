@@ -15,6 +15,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,7 +195,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, min_chars: int = MIN_CHARS,
-                shingle: int = SHINGLE) -> DataFrame:
+                shingle: int = SHINGLE, filter_bits: int = 1 << 24) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text, and n_lines and n_removed.
 
     Lines are split at newlines and compared without blanks at their ends; lines under ``min_chars`` characters stay.
@@ -202,9 +203,20 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     witnesses; rows that repeat an id are treated as one document and lose the same lines. Columns named
     n_lines or n_removed are replaced, all others are kept; an empty table gives an empty result.
     """
-    gone = repeated_lines(docs, id_col=id_col, text_col=text_col, percent=percent, min_chars=min_chars, shingle=shingle)
+    gone = repeated_lines(docs, id_col=id_col, text_col=text_col, percent=percent, min_chars=min_chars, shingle=shingle,
+                         filter_bits=filter_bits)
     marks = materialise(gone.select(F.col("id").alias("_line_owner"), F.col("gone").alias("_lines_gone")), "gone")
-    rows = docs.drop("n_lines", "n_removed").join(marks, F.col(id_col).cast("bigint") == F.col("_line_owner"), "left")
+    table = ids_table(marks.select(F.col("_line_owner").alias("id")), filter_bits)
+
+    def touched(ids: pa.Array) -> pa.Array:
+        at = np.asarray(pc.fill_null(ids, 0)).astype(np.int64)
+        return pc.and_(pa.array(bit_hits(table, at.view(np.uint64))), pc.is_valid(ids))
+
+    # Only texts that may lose a line are shuffled; the table lets some others pass, which the join leaves as they are.
+    owner = F.col(id_col).cast("bigint")
+    hit, rows = F.arrow_udf(touched, "boolean")(owner), docs.drop("n_lines", "n_removed")
+    others = rows.where(~hit).withColumns({"_line_owner": F.lit(None).cast("bigint"), "_lines_gone": F.lit(None).cast("array<bigint>")})
+    rows = rows.where(hit).join(marks, owner == F.col("_line_owner"), "left").unionByName(others)
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.filter(lines, lambda _, k: ~F.array_contains(F.col("_lines_gone"), k.cast("bigint")))
     rows = rows.withColumn("n_lines", F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(lines)), F.lit(0)).cast("bigint"))
