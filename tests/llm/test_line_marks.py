@@ -68,3 +68,13 @@ def test_members_are_those_with_a_mark_alike():
             got |= set(found.column("id").to_pylist())
         want = np.arange(len(ids)) % crowd < 2 if crowd < links.CROWD else np.ones(len(ids), dtype=bool)
         assert got == set(ids[want].tolist())
+
+
+def test_texts_that_lose_no_line_are_left_as_they_are(spark):
+    line = "a line that is long enough to take part in what is compared here, said "
+    rows = [(i, f"{line}{i % 7 if i < 20 else i * i * 7919}\nx") for i in range(40)] + [(None, f"{line}0"), (3, f"{line}3\nx"), (50, None), (51, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain, full = (sorted(line_dedup.dedup_lines(frame, shingle=5, filter_bits=bits).collect(), key=str) for bits in (1 << 24, 64))
+    assert plain == full and len(plain) == len(rows)
+    assert {r.n_removed for r in plain if r.doc_id is None or r.doc_id >= 50 or r.doc_id == 0} == {0}
+    assert [r.text for r in plain if r.doc_id == 8] == ["x"] and [r.text for r in plain if r.doc_id is None] == [f"{line}0"]
