@@ -216,7 +216,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     owner = F.col(id_col).cast("bigint")
     hit, rows = F.arrow_udf(touched, "boolean")(owner), docs.drop("n_lines", "n_removed")
     others = rows.where(~hit).withColumns({"_line_owner": F.lit(None).cast("bigint"), "_lines_gone": F.lit(None).cast("array<bigint>")})
-    rows = rows.where(hit).join(marks, owner == F.col("_line_owner"), "left").unionByName(others)
+    # The marks grow with the texts and take ten times their file in memory: Spark would broadcast what it takes for small.
+    rows = rows.where(hit).join(marks.hint("merge"), owner == F.col("_line_owner"), "left").unionByName(others)
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.filter(lines, lambda _, k: ~F.array_contains(F.col("_lines_gone"), k.cast("bigint")))
     rows = rows.withColumn("n_lines", F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(lines)), F.lit(0)).cast("bigint"))

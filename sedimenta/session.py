@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+#: Whether Spark removes a query's shuffle files when it ends; else they stay until the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -73,11 +76,19 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back.
 
     Cuts the lineage in a way that survives the loss of executors and, unlike a cached or
-    checkpointed RDD, keeps the columns prunable for the passes that follow.
+    checkpointed RDD, keeps the columns prunable for the passes that follow. Nothing reads the shuffle files
+    of the write again, so they go with it: a job of many steps holds those of one step at a time.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    kept = spark.conf.get(SHUFFLE_CLEANUP) != "true"
+    if kept:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if kept:
+            spark.conf.set(SHUFFLE_CLEANUP, "false")
     return spark.read.schema(df.schema).parquet(path)
 
 
