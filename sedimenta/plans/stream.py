@@ -21,8 +21,9 @@ from sedimenta.sources import entities
 from sedimenta.streaming import merging, row_source, sinks
 
 DELIVERIES = 4
-#: Streams that take 1,000 rows in turn, and rows of the row groups that are read to find them.
-LANES, GROUP_ROWS = 8, 16 * row_source.MAX_ROWS
+#: Streams that take 1,000 rows in turn, and rows of the row groups that are read to find them. Every stream has a planning
+#: process on the driver, some 50 MB each: eight and the JVM take more than 1.5 GB there.
+LANES, GROUP_ROWS = 4, 16 * row_source.MAX_ROWS
 
 
 def _stream(spark, frame, arrival, make, handle, mode="append"):

@@ -111,6 +111,35 @@ def test_bounded_batches_run_side_by_side(spark, monkeypatch):
     assert rows == {b: 1_000 for b in range(10)} | {10: 500} and most[0] > 1
 
 
+def planners():
+    """The processes that plan micro-batches of Python sources."""
+    found = set()
+    for pid in filter(str.isdigit, os.listdir("/proc")):
+        try:
+            with open(f"/proc/{pid}/cmdline", "rb") as file:
+                if b"python_streaming_source_runner" in file.read():
+                    found.add(pid)
+        except OSError:
+            pass  # it has ended
+    return found
+
+
+def test_bounded_batches_are_planned_by_few_processes(spark, monkeypatch):
+    before, seen, append = planners(), set(), sinks.BatchFiles.append
+
+    def watched(self, batch, batch_id):
+        seen.update(planners() - before)
+        append(self, batch, batch_id)
+
+    monkeypatch.setattr(sinks.BatchFiles, "append", watched)
+    path = scratch_path(spark, "given")
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], SCHEMAS["events"]).schema]
+    spark.range(9_001).select(*columns).write.parquet(f"{path}/events.parquet")
+    rows = {r.batch_id: r.row_count for r in QUERIES["L2_bounded_microbatches"].build(spark, path).collect()}
+    assert rows == {b: 1_000 for b in range(9)} | {9: 1}
+    assert 1 < len(seen) <= 4
+
+
 def test_slices_cut_row_groups(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
